@@ -49,7 +49,7 @@ def percentiles_by_rank(
     ever holds a group, however many distinct values it has.
     """
     histogram = value_distribution(df.filter(F.col(measure).isNotNull()), by, measure)
-    ranked = running_total(histogram, [*by, measure], "n", "_last")
+    ranked = running_total(histogram, [*by, measure], "n", "_last", split_ties=False)
     groups = ranked.groupBy(*by).agg(
         F.min(F.col("_last") - F.col("n")).alias("_start"), F.sum("n").alias("_rows")
     )

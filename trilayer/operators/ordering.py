@@ -23,24 +23,21 @@ from trilayer.sinks.scratch import scratch_dir
 _FILE, _INDEX, _TIE, _BEFORE = "_file", "_index", "_tie", "_before"
 
 
-def store_sorted(df: DataFrame, order_by: Sequence[str], path: str | None = None) -> str:
+def store_sorted(
+    df: DataFrame, order_by: Sequence[str], path: str | None = None, split_ties: bool = True
+) -> str:
     """Write `df` in one global order and return the folder.
 
-    The tie column lets a group of equal keys, however large, spread over many
-    tasks. Rows with equal keys must be interchangeable (or the key unique), and
-    `df` should come straight from a scan, so that a recomputed task repeats its
-    ties.
+    `split_ties` lets a group of equal keys, however large, spread over many tasks.
+    Such rows must be interchangeable, and `df` must come straight from a scan, so
+    that a recomputed task repeats its ties. Turn it off where the key is unique.
     """
     path = path or scratch_dir(df.sparkSession, "sorted")
-    keys = [*order_by, _TIE]
-    (
-        df.withColumn(_TIE, F.monotonically_increasing_id())
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .drop(_TIE)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    keys = list(order_by)
+    if split_ties:
+        df, keys = df.withColumn(_TIE, F.monotonically_increasing_id()), [*keys, _TIE]
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(_TIE)
+    ordered.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -81,10 +78,14 @@ def number_rows(df: DataFrame, order_by: Sequence[str], out: str = "row_no") ->
 
 
 def running_total(
-    df: DataFrame, order_by: Sequence[str], weight: str, out: str = "running_total"
+    df: DataFrame,
+    order_by: Sequence[str],
+    weight: str,
+    out: str = "running_total",
+    split_ties: bool = True,
 ) -> DataFrame:
     """Inclusive running sum of an integer column over the whole table in key order."""
-    path = store_sorted(df, order_by)
+    path = store_sorted(df, order_by, split_ties=split_ties)
     located = _with_offsets(df.sparkSession, path, F.col(weight))
     within = Window.partitionBy(_FILE).orderBy(_INDEX).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
