@@ -19,8 +19,12 @@ def safe_double(col: Column) -> Column:
 
 
 def safe_int(col: Column, to: str = "int") -> Column:
-    """Text to a whole number, halves away from zero; overflow is null."""
-    return F.round(safe_double(col)).try_cast(to)
+    """Text to a whole number, halves away from zero; overflow is null.
+
+    NaN and infinity fail the last cast, so the text is parsed once only: a filter
+    on typed columns is pushed below the typing and repeats this expression.
+    """
+    return F.round(normalize_number(col).try_cast("double")).try_cast(to)
 
 
 def zero_fill(col: Column) -> Column:

@@ -42,11 +42,12 @@ def store_sorted(
 
 
 def _file_order() -> list[Column]:
-    """Task number, then file number within the task, both from the file name."""
+    """Task number, then file number within the task, both from the name, then the path."""
     name = F.regexp_extract(_FILE, r"([^/]+)$", 1)
     return [
-        F.regexp_extract(name, r"^part-(\d+)-", 1).cast("bigint"),
-        F.regexp_extract(name, r"-c(\d+)", 1).cast("bigint"),
+        F.regexp_extract(name, r"^part-(\d+)-", 1).try_cast("bigint"),
+        F.regexp_extract(name, r"-c(\d+)", 1).try_cast("bigint"),
+        F.col(_FILE),
     ]
 
 

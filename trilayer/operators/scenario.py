@@ -52,21 +52,22 @@ def _whole(df: DataFrame, column: str) -> Column:
     return F.coalesce(safe_int(F.col(column)), F.lit(0)) if present else F.lit(0)
 
 
-def component_total(df: DataFrame, parts: Sequence[str], total: str) -> Column:
-    """Sum of the parts if all exist, else the total; null counts as zero."""
-    if not all(part in df.columns for part in parts):
-        return _whole(df, total)
+def _has_all(df: DataFrame, parts: Sequence[str]) -> bool:
+    return set(parts) <= set(df.columns)
+
+
+def _sum_of(df: DataFrame, parts: Sequence[str]) -> Column:
     summed = F.lit(0)
     for part in parts:
         summed = summed + _whole(df, part)
-    return F.greatest(F.lit(0), summed)
+    return summed
 
 
 def sum_components(df: DataFrame, parts: Sequence[str], total: str) -> DataFrame:
-    """Replace the total by the sum of its parts, if they all exist."""
-    if not all(part in df.columns for part in parts):
+    """Replace the total by the sum of its parts, not below zero, if they all exist."""
+    if not _has_all(df, parts):
         return df
-    return df.withColumn(total, component_total(df, parts, total))
+    return df.withColumn(total, F.greatest(F.lit(0), _sum_of(df, parts)))
 
 
 def uplift_probability(rates: UpliftRates, is_segment: Column, is_day: Column, total: Column) -> Column:
@@ -97,20 +98,11 @@ def uplift(
     """
     if total not in df.columns:
         return df
-    before = component_total(df, parts, total)
+    before = _sum_of(df, parts) if _has_all(df, parts) else _whole(df, total)
     gains = hash_uniform(seed, "uplift", F.col(row_id)) < uplift_probability(
         rates, is_segment, is_day, before
     )
-    if all(part in df.columns for part in parts):
-        # The parts decide: a grown part raises the sum, negative parts are kept.
-        after = F.lit(0)
-        for part in parts:
-            after = after + _whole(df, part)
-        if grown_part in parts:
-            after = after + 1
-    else:
-        after = before + 1
-    rewritten = {total: F.greatest(F.lit(0), after)}
+    rewritten = {total: F.greatest(F.lit(0), before + 1)}
     if grown_part in df.columns:
         rewritten[grown_part] = _whole(df, grown_part) + 1
     return df.withColumns(

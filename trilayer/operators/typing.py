@@ -16,7 +16,8 @@ class MissingColumnsError(ValueError):
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Fail, naming them, if columns are absent. Reads the schema, runs no job."""
-    missing = [c for c in columns if c not in df.columns]
+    have = set(df.columns)
+    missing = [c for c in columns if c not in have]
     if missing:
         raise MissingColumnsError(f"missing columns: {missing}")
     return df
@@ -49,7 +50,8 @@ def apply_types(
     `unparsed` names an optional array column listing the columns that held text
     which did not parse.
     """
-    present = {name: kind for name, kind in types.items() if name in df.columns}
+    have = set(df.columns)
+    present = {name: kind for name, kind in types.items() if name in have}
     typed = {
         name: safe_double(F.col(name)) if kind == "double" else safe_int(F.col(name), kind)
         for name, kind in present.items()

@@ -41,7 +41,8 @@ def read_delimited(
 
     `columns` are the header names as they stand in the files; without them the
     first header found is read. Files whose header differs fail the read rather
-    than land in the wrong columns: give each layout its own source.
+    than land in the wrong columns: give each layout its own source. Spark refuses
+    queries that use the corrupt record and no other column; add one.
     """
     if columns is None:
         columns = _reader(spark, sep).csv(path).columns
