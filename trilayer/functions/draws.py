@@ -22,4 +22,6 @@ def hash_uniform(seed: int, stream: str, row_id: Column) -> Column:
 
 def hash_pick(seed: int, stream: str, row_id: Column, n: int) -> Column:
     """Uniform in 0..n-1. Sixty bits, so the modulo bias stays negligible at 10^12 rows."""
-    return F.pmod(_hash_number(seed, stream, row_id, 15), F.lit(n).cast("bigint"))
+    pick = F.pmod(_hash_number(seed, stream, row_id, 15), F.lit(n).cast("bigint"))
+    # Never null, so that a join on it adds no null check that hashes again.
+    return F.coalesce(pick, F.lit(0).cast("bigint"))

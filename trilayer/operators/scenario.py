@@ -18,6 +18,7 @@ from trilayer.functions.numbers import safe_int
 
 DRAW_ID = "draw_id"
 DRAWS_PER_TASK = 4_000_000
+_BEFORE, _SEGMENT, _DAY, _GAINS = "_before", "_segment", "_day", "_gains"
 
 
 def scenario_size(n: Column, growth: Column, limit: float = GROWTH_LIMIT) -> Column:
@@ -98,16 +99,25 @@ def uplift(
     """
     if total not in df.columns:
         return df
-    before = _sum_of(df, parts) if _has_all(df, parts) else _whole(df, total)
-    gains = hash_uniform(seed, "uplift", F.col(row_id)) < uplift_probability(
-        rates, is_segment, is_day, before
+    # Staged columns: each is used more than once below and is computed once.
+    staged = df.withColumns(
+        {
+            _BEFORE: _sum_of(df, parts) if _has_all(df, parts) else _whole(df, total),
+            _SEGMENT: is_segment,
+            _DAY: is_day,
+        }
     )
-    rewritten = {total: F.greatest(F.lit(0), before + 1)}
+    chance = uplift_probability(rates, F.col(_SEGMENT), F.col(_DAY), F.col(_BEFORE))
+    staged = staged.withColumn(_GAINS, hash_uniform(seed, "uplift", F.col(row_id)) < chance)
+
+    rewritten = {total: F.greatest(F.lit(0), F.col(_BEFORE) + 1)}
     if grown_part in df.columns:
         rewritten[grown_part] = _whole(df, grown_part) + 1
-    return df.withColumns(
+    return staged.withColumns(
         {
-            column: F.when(gains, value.cast(df.schema[column].dataType)).otherwise(F.col(column))
+            column: F.when(F.col(_GAINS), value.cast(df.schema[column].dataType)).otherwise(
+                F.col(column)
+            )
             for column, value in rewritten.items()
         }
-    )
+    ).drop(_BEFORE, _SEGMENT, _DAY, _GAINS)

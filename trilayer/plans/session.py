@@ -16,6 +16,8 @@ def create_session(
         .config("spark.sql.session.timeZone", time_zone)
         .config("spark.sql.adaptive.enabled", True)
         .config("spark.sql.adaptive.skewJoin.enabled", True)
+        # Above 8000 bytes the JVM interprets a method; generate smaller ones instead.
+        .config("spark.sql.codegen.hugeMethodLimit", 8000)
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions)
