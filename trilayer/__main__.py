@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--base-year", type=int, default=fixed.BASE_YEAR)
     parser.add_argument("--scenario-year", type=int, default=fixed.SCENARIO_YEAR)
     parser.add_argument("--shuffle-partitions", type=int)
+    parser.add_argument("--cluster", action="store_true", help="few files per year, by a shuffle")
     args = parser.parse_args(argv)
     if args.job == "land" and not args.input:
         parser.error("job land needs --input")
@@ -41,13 +42,13 @@ def main(argv: list[str] | None = None) -> None:
                 scenario_config(target_year=layout.scenario_year),
             )
         elif args.job == "silver":
-            run_silver(spark, layout.sources(), layout.silver)
+            run_silver(spark, layout.sources(), layout.silver, cluster=args.cluster)
         elif args.job == "gold":
-            run_gold(spark, layout.silver, layout.gold, layout.kpis)
+            run_gold(spark, layout.silver, layout.gold, layout.kpis, cluster=args.cluster)
         elif args.job == "report":
             run_report(spark, layout.kpis, layout.report, layout.base_year, layout.scenario_year)
         else:
-            run_all(spark, layout)
+            run_all(spark, layout, cluster=args.cluster)
     finally:
         spark.stop()
 

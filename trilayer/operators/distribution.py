@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilayer.operators.joins import join_dimension
-from trilayer.operators.ordering import running_total
+from trilayer.operators.joins import fits_broadcast
+from trilayer.operators.ordering import store_sorted, stored_running_total
 
 
 def value_distribution(df: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
@@ -48,28 +48,40 @@ def percentiles_by_rank(
     Ranks come from a distributed running total over (group, value), so no task
     ever holds a group, however many distinct values it has.
     """
+    if not by:
+        return percentiles_by_rank(df.withColumn("_all", F.lit(0)), ["_all"], measure, points).drop("_all")
+    spark = df.sparkSession
     histogram = value_distribution(df.filter(F.col(measure).isNotNull()), by, measure)
-    ranked = running_total(histogram, [*by, measure], "n", "_last", split_ties=False)
-    groups = ranked.groupBy(*by).agg(
+    path = store_sorted(histogram, [*by, measure], split_ties=False)
+    ranked = stored_running_total(spark, path, "n", "_last")
+
+    # Group keys may be null, so the join below compares them null-safely.
+    keys = {c: f"_key_{c}" for c in by}
+    groups = ranked.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(
         F.min(F.col("_last") - F.col("n")).alias("_start"), F.sum("n").alias("_rows")
     )
-    located = join_dimension(ranked, groups, list(by), "inner")
+    same_group = F.lit(True)
+    for c, k in keys.items():
+        same_group = same_group & F.col(c).eqNullSafe(F.col(k))
+    distinct_keys = spark.read.parquet(path).select(*by).distinct()
+    located = ranked.join(
+        F.broadcast(groups) if fits_broadcast(distinct_keys) else groups, same_group
+    )
+
     first, last = F.col("_last") - F.col("n") - F.col("_start"), F.col("_last") - F.col("_start")
 
+    def target(p: float) -> Column:
+        return F.lit(p) * (F.col("_rows") - 1)
+
     def value_at(rank: Column) -> Column:
         return F.max(F.when((first <= rank) & (rank < last), F.col(measure)))
 
-    aggregates = []
-    for name, p in points.items():
-        target = F.lit(p) * (F.col("_rows") - 1)
-        aggregates += [
-            value_at(F.floor(target)).alias(f"_{name}_low"),
-            value_at(F.ceil(target)).alias(f"_{name}_high"),
-        ]
-    found = located.groupBy(*by, "_rows").agg(*aggregates)
+    found = located.groupBy(*by, "_rows").agg(
+        *[value_at(F.floor(target(p))).alias(f"_{name}_low") for name, p in points.items()],
+        *[value_at(F.ceil(target(p))).alias(f"_{name}_high") for name, p in points.items()],
+    )
     values = []
     for name, p in points.items():
-        target = F.lit(p) * (F.col("_rows") - 1)
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        values.append((low + (high - low) * (target - F.floor(target))).alias(name))
+        values.append((low + (high - low) * (target(p) - F.floor(target(p)))).alias(name))
     return found.select(*by, *values)

@@ -46,7 +46,8 @@ def lookup_table(
         .groupBy(F.col(code).cast("string").alias(key))
         .agg(F.min(label).alias(dst))
     )
-    joined = join_dimension(df.withColumn(key, F.col(src).cast("string")), labels, key).drop(key)
+    facts = df.withColumn(key, F.col(src).cast("string"))
+    joined = join_dimension(facts, labels, key, probe=dim.select(code, label)).drop(key)
     if default is None:
         return joined
     return joined.withColumn(dst, F.coalesce(dst, F.lit(default)))

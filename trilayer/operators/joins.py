@@ -28,12 +28,20 @@ def fits_broadcast(
 
 
 def join_dimension(
-    facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left"
+    facts: DataFrame,
+    dim: DataFrame,
+    on: str | list[str],
+    how: str = "left",
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Broadcast the dimension if it measures small, else a shuffled join.
 
-    Beyond the bound the fact side may be skewed on a hot key; adaptive skew join
-    splits the fact side of inner and left joins, which is all this is used for.
+    `probe` is a cheaper frame to measure instead, with no fewer or narrower rows;
+    give one where `dim` itself is the result of work worth doing only once.
+
+    Beyond the bound the fact side may be skewed on a hot key (or on null, which no
+    key matches); adaptive skew join splits the fact side of inner and left joins,
+    which is all this is used for.
     """
-    side = F.broadcast(dim) if fits_broadcast(dim) else dim
+    side = F.broadcast(dim) if fits_broadcast(dim if probe is None else probe) else dim
     return facts.join(side, on, how)

@@ -78,18 +78,20 @@ def number_rows(df: DataFrame, order_by: Sequence[str], out: str = "row_no") ->
     return number_stored_rows(df.sparkSession, store_sorted(df, order_by), out)
 
 
-def running_total(
-    df: DataFrame,
-    order_by: Sequence[str],
-    weight: str,
-    out: str = "running_total",
-    split_ties: bool = True,
+def stored_running_total(
+    spark: SparkSession, path: str, weight: str, out: str = "running_total"
 ) -> DataFrame:
-    """Inclusive running sum of an integer column over the whole table in key order."""
-    path = store_sorted(df, order_by, split_ties=split_ties)
-    located = _with_offsets(df.sparkSession, path, F.col(weight))
+    """Inclusive running sum in file order; no task sorts more than one file."""
+    located = _with_offsets(spark, path, F.col(weight))
     within = Window.partitionBy(_FILE).orderBy(_INDEX).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     total = F.col(_BEFORE) + F.sum(weight).over(within)
     return located.withColumn(out, total).drop(_FILE, _INDEX, _BEFORE)
+
+
+def running_total(
+    df: DataFrame, order_by: Sequence[str], weight: str, out: str = "running_total"
+) -> DataFrame:
+    """Inclusive running sum of an integer column over the whole table in key order."""
+    return stored_running_total(df.sparkSession, store_sorted(df, order_by), weight, out)

@@ -92,9 +92,10 @@ def dq(df: DataFrame, contract: Contract) -> DataFrame:
     """All rules of a contract, then the verdict.
 
     The totals are attached as observed metrics, named `dq_totals-...`, for query
-    listeners. Being there they also keep a filter on the verdict above the typing:
-    pushed below, it would parse every checked column once more, in a method too
-    large for the JVM to compile (ten times slower).
+    listeners (a retried task may count twice; `dq_totals` is exact). Being there
+    they also keep a filter on the verdict above the typing: pushed below, it would
+    parse every checked column once more, in a method too large for the JVM to
+    compile (ten times slower).
     """
     name = f"dq_totals-{uuid.uuid4().hex[:8]}"
     return (

@@ -56,8 +56,13 @@ def land_base(df: DataFrame, layout: Layout) -> None:
     write_landing(normalize_headers(df), layout.landing(layout.base_year))
 
 
-def run_all(spark: SparkSession, layout: Layout, with_scenario: bool = True) -> SplitTotals:
-    """From the landed base year to the report tables."""
+def run_all(
+    spark: SparkSession, layout: Layout, with_scenario: bool = True, cluster: bool = False
+) -> SplitTotals:
+    """From the landed base year to the report tables.
+
+    `cluster` gives the fact tables few files per year at the price of a shuffle.
+    """
     if with_scenario:
         run_scenario(
             spark,
@@ -65,7 +70,7 @@ def run_all(spark: SparkSession, layout: Layout, with_scenario: bool = True) ->
             layout.landing(layout.scenario_year),
             scenario_config(target_year=layout.scenario_year),
         )
-    totals = run_silver(spark, layout.sources(), layout.silver)
-    run_gold(spark, layout.silver, layout.gold, layout.kpis)
+    totals = run_silver(spark, layout.sources(), layout.silver, cluster=cluster)
+    run_gold(spark, layout.silver, layout.gold, layout.kpis, cluster=cluster)
     run_report(spark, layout.kpis, layout.report, layout.base_year, layout.scenario_year)
     return totals

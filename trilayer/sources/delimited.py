@@ -21,11 +21,11 @@ SOURCE_FILE, INGEST_TS, MARKER = "source_file", "ingest_ts", "scenario"
 ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
-def _reader(spark: SparkSession, sep: str) -> DataFrameReader:
+def _reader(spark: SparkSession, sep: str, recursive: bool) -> DataFrameReader:
     return (
         spark.read.option("header", True)
         .option("sep", sep)
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", recursive)
         .option("pathGlobFilter", "*.csv")
     )
 
@@ -36,6 +36,7 @@ def read_delimited(
     columns: Sequence[str] | None = None,
     sep: str = ";",
     run_ts: datetime | None = None,
+    recursive: bool = True,
 ) -> DataFrame:
     """Every `*.csv` under `path` as strings, plus corrupt record, file and run time.
 
@@ -45,10 +46,10 @@ def read_delimited(
     queries that use the corrupt record and no other column; add one.
     """
     if columns is None:
-        columns = _reader(spark, sep).csv(path).columns
+        columns = _reader(spark, sep, recursive).csv(path).columns
     fields = [T.StructField(name, T.StringType()) for name in columns]
     raw = (
-        _reader(spark, sep)
+        _reader(spark, sep, recursive)
         .schema(T.StructType([*fields, T.StructField(CORRUPT_RECORD, T.StringType())]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
