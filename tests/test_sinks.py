@@ -70,10 +70,25 @@ def test_replacing_a_partition_leaves_the_others(spark, tmp_path, cluster):
     path = str(tmp_path / "t")
     write_table(spark.createDataFrame([(1, 2024), (2, 2026)], "id int, yr int"), path, "yr")
     for _ in range(2):
-        replace_partition(spark.createDataFrame([(9, 2026)], "id int, yr int"), path, "yr", cluster)
+        replace_partition(
+            spark.createDataFrame([(9, 2026)], "id int, yr int"), path, "yr", cluster=cluster
+        )
     assert rows(read_partitioned(spark, path)) == [(1, 2024), (9, 2026)]
 
 
+@pytest.mark.parametrize("cluster", [False, True])
+def test_replacing_one_named_partition_also_empties_it(spark, tmp_path, cluster):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, 2024), (2, 2026)], "id int, yr int")
+    write_table(old, path, "yr")
+    new = spark.createDataFrame([(8, 2024), (9, 2026)], "id int, yr int")
+    for _ in range(2):
+        replace_partition(new, path, "yr", 2026, cluster)
+    assert rows(read_partitioned(spark, path)) == [(1, 2024), (9, 2026)]
+    replace_partition(new.filter("id = 0"), path, "yr", 2026, cluster)
+    assert rows(read_partitioned(spark, path)) == [(1, 2024)]
+
+
 SCHEMA = "id int, yr int, dq_valid boolean"
 
 

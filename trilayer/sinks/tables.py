@@ -55,9 +55,22 @@ def write_table(
 
 
 def replace_partition(
-    df: DataFrame, path: str, partition_by: str, cluster: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: str,
+    value: int | None = None,
+    cluster: bool = False,
 ) -> None:
-    """Overwrite the partitions that `df` holds rows for and leave the others alone."""
+    """Overwrite some partitions of a table and leave the others alone.
+
+    Without `value` these are the partitions that `df` holds rows for. With it, it is
+    that one partition, even if `df` has no row for it: then it becomes empty.
+    """
+    if value is not None:
+        part = df.filter(F.col(partition_by) == value).drop(partition_by)
+        part = part.hint("rebalance") if cluster else part
+        part.write.mode("overwrite").parquet(f"{path}/{partition_by}={value}")
+        return
     if cluster:
         df = df.hint("rebalance", partition_by)
     (
