@@ -100,3 +100,56 @@ def test_day_and_labels(spark):
     assert rows(enrich.day_flag(df, []), "is_day") == [(False,)] * 3
     labelled = enrich.segment_label(df.selectExpr("light = 1 as f"), "f", "yes", "no")
     assert rows(labelled, "segment_label") == [("no",), ("no",), ("yes",)]
+
+
+@pytest.mark.parametrize("hot", ["7", "null"])
+@pytest.mark.parametrize("spread_by", [(), ("id",)])
+def test_a_hot_code_is_dealt_out_beyond_the_bound(spark, monkeypatch, hot, spread_by):
+    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (10, joins.BROADCAST_MAX_BYTES))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(0, 60_000, 1, 8).selectExpr(
+            "id", "hash(id) as x", f"if(id % 2 = 0, {hot}, cast(id % 5000 as int)) as code"
+        )
+        dim = spark.range(5000).selectExpr("id as c", "concat('label ', id) as l")
+        out = enrich.lookup_table(facts, dim, "code", "label", "c", "l", spread_by=spread_by)
+        assert "_salt" not in out.columns and "Broadcast" not in plan_of(out)
+        per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 60_000 and max(per_task) < 60_000 / 4
+        labelled = out.filter("label = concat('label ', code)").count()
+        assert labelled == (60_000 if hot == "7" else 30_000)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_copies_of_a_hot_row_are_split_by_adaptive_execution(spark, monkeypatch):
+    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (10, joins.BROADCAST_MAX_BYTES))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(0, 60_000, 1, 8).selectExpr(
+            "if(id % 2 = 0, 1, id) as x", "if(id % 2 = 0, 7, cast(id % 5000 as int)) as code"
+        )
+        dim = spark.range(5000).selectExpr("id as c", "concat('label ', id) as l")
+        out = enrich.lookup_table(facts, dim, "code", "label", "c", "l")
+        executed = out.selectExpr("count(*)", "count(label)", "sum(x)")
+        assert tuple(executed.collect()[0])[:2] == (60_000, 60_000)
+        assert "skew=true" in plan_of(executed)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

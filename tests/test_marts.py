@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.queries import gold
 from tests.conftest import plan_of, rows
 from trilayer.functions import safe_ratio
-from trilayer.operators import distribution, marts
+from trilayer.operators import distribution, joins, marts
 from trilayer.operators.typing import restrict_to
 from trilayer.plans.incidents import KPI_DIMS
 from trilayer.plans.report import day_label, light_label, report_marts, segment_text
@@ -96,8 +96,10 @@ def by_hand(values, p):
     return low + (high - low) * (at - int(at))
 
 
+@pytest.mark.parametrize("bound", [joins.BROADCAST_MAX_ROWS, 0])
 @pytest.mark.parametrize("find", [distribution.percentiles, distribution.percentiles_by_rank])
-def test_percentiles_with_a_hot_group_and_a_hot_value(spark, find):
+def test_percentiles_with_a_hot_group_and_a_hot_value(spark, monkeypatch, find, bound):
+    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (bound, joins.BROADCAST_MAX_BYTES))
     points = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
     df = spark.range(6000).selectExpr(
         "if(id % 3 = 0, 2024, if(id % 7 = 1, null, 2000 + cast(id % 7 as int))) as yr",
@@ -114,6 +116,12 @@ def test_percentiles_with_a_hot_group_and_a_hot_value(spark, find):
         assert got[yr] == pytest.approx(want[yr], rel=1e-12)
 
 
+def test_percentiles_of_the_whole_table(spark):
+    df = spark.range(101).selectExpr("cast(id as double) as v")
+    for find in (distribution.percentiles, distribution.percentiles_by_rank):
+        assert rows(find(df, [], "v", {"p50": 0.5, "p99": 0.99})) == [(50.0, 99.0)]
+
+
 def test_distribution_and_zero_share(spark):
     df = spark.createDataFrame([(1, 0), (1, 0), (1, 3), (1, None)], "yr int, v int")
     assert rows(distribution.value_distribution(df, ["yr"], "v")) == [(1, None, 1), (1, 0, 2), (1, 3, 1)]

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilayer.operators.joins import fits_broadcast
+from trilayer.operators.joins import join_dimension
 from trilayer.operators.ordering import store_sorted, stored_running_total
 
 
@@ -55,17 +55,14 @@ def percentiles_by_rank(
     path = store_sorted(histogram, [*by, measure], split_ties=False)
     ranked = stored_running_total(spark, path, "n", "_last")
 
-    # Group keys may be null, so the join below compares them null-safely.
-    keys = {c: f"_key_{c}" for c in by}
-    groups = ranked.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(
+    # As a struct the group key also matches where a part of it is null.
+    keyed = ranked.withColumn("_group", F.struct(*by))
+    groups = keyed.groupBy("_group").agg(
         F.min(F.col("_last") - F.col("n")).alias("_start"), F.sum("n").alias("_rows")
     )
-    same_group = F.lit(True)
-    for c, k in keys.items():
-        same_group = same_group & F.col(c).eqNullSafe(F.col(k))
     distinct_keys = spark.read.parquet(path).select(*by).distinct()
-    located = ranked.join(
-        F.broadcast(groups) if fits_broadcast(distinct_keys) else groups, same_group
+    located = join_dimension(
+        keyed, groups, "_group", "inner", spread_by=[measure], probe=distinct_keys
     )
 
     first, last = F.col("_last") - F.col("n") - F.col("_start"), F.col("_last") - F.col("_start")

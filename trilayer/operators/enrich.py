@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +34,13 @@ def lookup_table(
     code: str,
     label: str,
     default: str | None = None,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Code to label through a dictionary table of any size.
 
     The dictionary is reduced to one label per code first, so the row count of
-    `df` never changes; it is broadcast only if it measures small.
+    `df` never changes. It is broadcast only if it measures small; `spread_by` names
+    the columns that deal out a hot code otherwise (see `join_dimension`).
     """
     key = "_lookup_code"
     labels = (
@@ -47,7 +49,8 @@ def lookup_table(
         .agg(F.min(label).alias(dst))
     )
     facts = df.withColumn(key, F.col(src).cast("string"))
-    joined = join_dimension(facts, labels, key, probe=dim.select(code, label)).drop(key)
+    measured = dim.select(code, label)
+    joined = join_dimension(facts, labels, key, spread_by=spread_by, probe=measured).drop(key)
     if default is None:
         return joined
     return joined.withColumn(dst, F.coalesce(dst, F.lit(default)))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+SALTS = 16
+_SALT = "_salt"
 
 
 def fits_broadcast(
@@ -30,18 +34,26 @@ def fits_broadcast(
 def join_dimension(
     facts: DataFrame,
     dim: DataFrame,
-    on: str | list[str],
+    key: str,
     how: str = "left",
+    spread_by: Sequence[str] = (),
     probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Broadcast the dimension if it measures small, else a shuffled join.
+    """Join a dimension with one row per key: broadcast if it measures small, else salted.
 
-    `probe` is a cheaper frame to measure instead, with no fewer or narrower rows;
-    give one where `dim` itself is the result of work worth doing only once.
+    Beyond the bound a key, or null, may hold most of the facts. The salt deals such
+    a group out over several tasks; it is a hash of the `spread_by` columns (all plain
+    columns by default; name a row id to read no others), so a recomputed task
+    repeats it. Rows that agree in all of them, copies of one row, are left to
+    adaptive skew join.
 
-    Beyond the bound the fact side may be skewed on a hot key (or on null, which no
-    key matches); adaptive skew join splits the fact side of inner and left joins,
-    which is all this is used for.
+    `probe` is a cheaper frame to measure instead, with no fewer or narrower rows.
     """
-    side = F.broadcast(dim) if fits_broadcast(dim if probe is None else probe) else dim
-    return facts.join(side, on, how)
+    if fits_broadcast(dim if probe is None else probe):
+        return facts.join(F.broadcast(dim), key, how)
+    names = list(spread_by) or [
+        f.name for f in facts.schema.fields if isinstance(f.dataType, T.AtomicType)
+    ]
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in names]), F.lit(SALTS)).cast("int")
+    copies = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return facts.withColumn(_SALT, salt).join(copies, [key, _SALT], how).drop(_SALT)

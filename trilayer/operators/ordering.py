@@ -63,7 +63,7 @@ def _with_offsets(spark: SparkSession, path: str, weight: Column) -> DataFrame:
     earlier = Window.orderBy(*_file_order()).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_weight").over(earlier), F.lit(0))
     offsets = per_file.select(_FILE, before.alias(_BEFORE))
-    return join_dimension(rows, offsets, _FILE, "inner")
+    return join_dimension(rows, offsets, _FILE, "inner", spread_by=[_INDEX])
 
 
 def number_stored_rows(spark: SparkSession, path: str, out: str = "row_no") -> DataFrame:
