@@ -1,4 +1,7 @@
-"""The corpus pipeline: stages over documents, each written and read again."""
+"""The corpus pipeline: stages over documents, each written and read again.
+
+Every stage but the last returns rows of its predecessor, all columns as they were.
+"""
 
 from __future__ import annotations
 
@@ -8,23 +11,44 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trilayer.llm.common import store, table
 from trilayer.llm.exact_dedup import drop_copies
+from trilayer.llm.mixing import mix_sources
+from trilayer.llm.near_dedup import drop_near_copies
 from trilayer.llm.packing import pack
+from trilayer.llm.toxicity import drop_toxic, fit_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the class-conditional models call toxic go."""
+    return drop_toxic(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays: that with the largest doc_id."""
     return drop_copies(docs, keep="largest")
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays: that with the smallest doc_id."""
+    return drop_near_copies(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample of the documents whose margins have the target weights."""
+    return mix_sources(docs)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their place in training sequences."""
     return pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
     ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilayer.sinks.scratch import scratch_dir
@@ -13,7 +13,7 @@ from trilayer.sinks.scratch import scratch_dir
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared scratch folder and read it back: lineage ends at files
     that outlive executors, and each row is computed once."""
-    path = f"{scratch_dir(df.sparkSession, name)}"
+    path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -31,10 +31,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_or_empty(column: str = "text"):
-    return F.coalesce(F.col(column), F.lit(""))
+#: Bits of the filters below: 8 MB, however large the corpus is.
+FILTER_BITS = 1 << 26
+
+
+def maybe_in(column: Column, ids: DataFrame) -> Column:
+    """True where `column` is in the one column of `ids`, and by chance elsewhere.
+
+    Keeps most other rows out of the exact join that follows. The filter has a fixed
+    size; when the ids outgrow it, it lets more rows through and the join does the work.
+    Nulls are never in.
+    """
+    at = F.pmod(F.xxhash64(F.col(f"`{ids.columns[0]}`")), F.lit(FILTER_BITS))
+    rows = (
+        ids.filter(F.col(f"`{ids.columns[0]}`").isNotNull())
+        .select((at / 64).cast("long").alias("word"), (at % 64).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("mask"))
+        .toPandas()
+    )
+    mask = np.zeros(FILTER_BITS // 64, np.uint64)
+    mask[rows.word.to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    shared = ids.sparkSession.sparkContext.broadcast(mask)
+
+    @F.pandas_udf("boolean")
+    def maybe(at: pd.Series) -> pd.Series:
+        at = at.to_numpy(np.int64)
+        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
+
+    return column.isNotNull() & maybe(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
 
 
-def fresh(prefix: str) -> str:
-    """A column name no input has."""
-    return f"_{prefix}_{uuid.uuid4().hex[:8]}"
+def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """`rows` whose `column` is not in `ids`; only those that may be are shuffled."""
+    marked = maybe_in(F.col(column), ids)
+    gone = ids.select(F.col(f"`{ids.columns[0]}`").alias("_gone")).distinct()
+    suspects = rows.filter(marked).join(gone, F.col(column) == F.col("_gone"), "left_anti")
+    return rows.filter(~marked).union(suspects)
