@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Words a task remembers; the memory is dropped when full, which changes no result.
-MEMORY = 400_000
+MEMORY = 200_000
 
 
 class WordMemory(dict):
@@ -26,7 +26,7 @@ class WordMemory(dict):
 
 
 def word_hashes() -> WordMemory:
-    return WordMemory(xxhash.xxh64_intdigest)
+    return WordMemory(xxhash.xxh64_intdigest, MEMORY)
 
 
 def hash_words(words: list[bytes], memory: WordMemory) -> np.ndarray:
