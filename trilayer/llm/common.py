@@ -58,10 +58,10 @@ def maybe_in(column: Column, ids: DataFrame) -> Column:
         .select((at / 64).cast("long").alias("word"), (at % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("mask"))
-        .toPandas()
+        .toArrow()
     )
     mask = np.zeros(FILTER_BITS // 64, np.uint64)
-    mask[rows.word.to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    mask[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
     shared = ids.sparkSession.sparkContext.broadcast(mask)
 
     @F.pandas_udf("boolean")

@@ -78,11 +78,10 @@ class Models:
     """Hashed count tables: per class (ngram, context, context types), shared by order."""
 
     NAMES = ("ngram", "context", "types")
+    KEYS = tuple((name, who) for who in ("0", "1", "shared") for name in ("ngram", "context", "types"))
 
     def __init__(self) -> None:
-        self.tables = {
-            (name, who): np.zeros(SLOTS, np.float32) for who in ("0", "1", "shared") for name in self.NAMES
-        }
+        self.tables = {key: np.zeros(SLOTS, np.float32) for key in self.KEYS}
         self.curve = np.zeros(3)
 
     def _level(self, who: str, gram, context, lower: np.ndarray) -> np.ndarray:
@@ -169,7 +168,7 @@ def _type_counts(rows: DataFrame, classed: bool) -> DataFrame:
 
 
 def _slots(types: DataFrame, order: int, who: str, weight: str) -> DataFrame:
-    """(who, name, slot, value) rows of one level from its n-grams and weights."""
+    """(table_no, slot, value) rows of one level from its n-grams and weights."""
 
     def to_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -182,9 +181,10 @@ def _slots(types: DataFrame, order: int, who: str, weight: str) -> DataFrame:
                 ("types", contexts, np.ones(len(keys))),
             ):
                 used, at = np.unique(slot, return_inverse=True)
-                yield pd.DataFrame({"who": who, "name": name, "slot": used, "value": np.bincount(at, weights=v)})
+                table_no = Models.KEYS.index((name, who))
+                yield pd.DataFrame({"table_no": table_no, "slot": used, "value": np.bincount(at, weights=v)})
 
-    return types.mapInPandas(to_slots, "who string, name string, slot long, value double")
+    return types.mapInPandas(to_slots, "table_no int, slot long, value double")
 
 
 def fit_counts(docs: DataFrame, labelled: DataFrame) -> Models:
@@ -202,10 +202,12 @@ def fit_counts(docs: DataFrame, labelled: DataFrame) -> Models:
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    # At most SLOTS rows for each of nine tables.
-    sums = rows.groupBy("who", "name", "slot").agg(F.sum("value").cast("float").alias("value"))
-    for (who, name), part in sums.toPandas().groupby(["who", "name"]):
-        models.tables[(name, who)][part.slot.to_numpy()] = part.value.to_numpy()
+    sums = rows.groupBy("table_no", "slot").agg(F.sum("value").cast("float").alias("value"))
+    sums = store(sums, "model-tables")
+    # One table of at most SLOTS rows at a time.
+    for number, key in enumerate(Models.KEYS):
+        part = sums.filter(F.col("table_no") == number).select("slot", "value").toArrow()
+        models.tables[key][part.column(0).to_numpy()] = part.column(1).to_numpy()
     return models
 
 
