@@ -81,9 +81,13 @@ def test_replacing_one_named_partition_also_empties_it(spark, tmp_path, cluster)
     path = str(tmp_path / "t")
     old = spark.createDataFrame([(1, 2024), (2, 2026)], "id int, yr int")
     write_table(old, path, "yr")
-    new = spark.createDataFrame([(8, 2024), (9, 2026)], "id int, yr int")
+    new = spark.createDataFrame([(9, 2026)], "id int, yr int")
     for _ in range(2):
         replace_partition(new, path, "yr", 2026, cluster)
+    for foreign in ("2024", "null"):
+        mixed = new.union(spark.sql(f"select 8, int({foreign})"))
+        with pytest.raises(ValueError, match="other partitions"):
+            replace_partition(mixed, path, "yr", 2026, cluster)
     assert rows(read_partitioned(spark, path)) == [(1, 2024), (9, 2026)]
     replace_partition(new.filter("id = 0"), path, "yr", 2026, cluster)
     assert rows(read_partitioned(spark, path)) == [(1, 2024)]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trilayer.config import SegmentRule
+from trilayer.functions.numbers import safe_int
 from trilayer.operators.joins import join_dimension
 from trilayer.operators.typing import require_columns
 
@@ -72,20 +76,22 @@ def matching_codes(mapping: Mapping[str, str], keywords: Iterable[str]) -> tuple
     return tuple(sorted(int(code) for code in hits if code.isdigit()))
 
 
+def _one_of(column: Column, values: Iterable[object]) -> Column:
+    """Membership by number where all listed values are whole numbers, else by trimmed text."""
+    texts = [str(v).strip() for v in values]
+    if all(re.fullmatch(r"-?\d+", t) for t in texts):
+        return safe_int(column, "bigint").isin([int(t) for t in texts])
+    return F.trim(column.cast("string")).isin(texts)
+
+
 def segment_column(rule: SegmentRule, read: Callable[[str], Column] = F.col) -> Column:
     """The rule as a boolean column; null logic first, then null to false."""
-    if rule.is_empty:
+    branches = [_one_of(read(name), values) for name, values in rule.any_of if values]
+    if not branches:
         return F.lit(False)
-    gate_column, gate_values = rule.gate
-    gate = F.lit(True)
-    if gate_values:
-        text = F.trim(read(gate_column).cast("string"))
-        gate = text.isin([str(value).strip() for value in gate_values])
-    member = F.lit(False)
-    for name, values in rule.any_of:
-        if values:
-            member = member | read(name).isin(list(values))
-    return F.coalesce(gate & member, F.lit(False))
+    name, values = rule.gate
+    conditions = [reduce(or_, branches), *([_one_of(read(name), values)] if values else [])]
+    return F.coalesce(reduce(and_, conditions), F.lit(False))
 
 
 def segment(df: DataFrame, rule: SegmentRule, out: str = "strategic") -> DataFrame:

@@ -6,7 +6,8 @@ row per task and group: a year holding most of the rows costs nothing extra.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,18 +17,32 @@ from trilayer.functions.numbers import safe_int, safe_ratio, zero_fill
 ROWS, TOTAL, MEAN = "incidents", "casualties_total", "casualties_mean"
 
 
+@dataclass(frozen=True)
+class Metric:
+    """A named aggregate and the column it reads, if any."""
+
+    name: str
+    of: Callable[[Column], Column]
+    column: str | None = None
+
+    def over(self) -> Column:
+        return self.of(F.col(self.column) if self.column else F.lit(1)).alias(self.name)
+
+
+def aggregated(df: DataFrame, dims: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
+    """The metrics and dimensions whose columns `df` has; no dimension at all is one group."""
+    have = set(df.columns)
+    measured = [m.over() for m in metrics if m.column is None or m.column in have]
+    return df.groupBy(*filter(have.__contains__, dims)).agg(*measured)
+
+
 def kpi_mart(
     df: DataFrame, dims: Sequence[str], measure: str, prefix: str = "casualties"
 ) -> DataFrame:
     """Rows, sum and null-skipping average by the dimensions that exist."""
-    present = [c for c in dims if c in df.columns]
-    aggregates = [F.count(F.lit(1)).alias(ROWS)]
-    if measure in df.columns:
-        aggregates += [
-            F.sum(measure).alias(f"{prefix}_total"),
-            F.avg(measure).alias(f"{prefix}_avg"),
-        ]
-    return df.groupBy(*present).agg(*aggregates) if present else df.agg(*aggregates)
+    total, mean = f"{prefix}_total", f"{prefix}_avg"
+    metrics = (Metric(ROWS, F.count), Metric(total, F.sum, measure), Metric(mean, F.avg, measure))
+    return aggregated(df, dims, metrics)
 
 
 def summarise(df: DataFrame, dims: Sequence[str | Column], measure: str) -> DataFrame:
@@ -39,9 +54,9 @@ def summarise(df: DataFrame, dims: Sequence[str | Column], measure: str) -> Data
 
 def summarise_kpis(kpis: DataFrame, dims: Sequence[str | Column]) -> DataFrame:
     """The same figures from a KPI table, which is a few hundred rows whatever the facts."""
+    total = F.col(TOTAL).cast("double") if TOTAL in kpis.columns else F.lit(None).cast("double")
     grouped = kpis.groupBy(*dims).agg(
-        F.sum(ROWS).alias(ROWS),
-        F.sum(F.coalesce(F.col(TOTAL).cast("double"), F.lit(0.0))).alias(TOTAL),
+        F.sum(ROWS).alias(ROWS), F.sum(F.coalesce(total, F.lit(0.0))).alias(TOTAL)
     )
     return grouped.withColumn(MEAN, safe_ratio(F.col(TOTAL), F.col(ROWS)))
 

@@ -49,8 +49,9 @@ def reassign_ids(df: DataFrame, column: str, start: int, draw_id: str = DRAW_ID)
 
 
 def _whole(df: DataFrame, column: str) -> Column:
-    present = column in df.columns
-    return F.coalesce(safe_int(F.col(column)), F.lit(0)) if present else F.lit(0)
+    """A whole number wide enough to add to, zero where there is none."""
+    wide = safe_int(F.col(column)) if column in df.columns else F.lit(None)
+    return F.coalesce(wide.cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _has_all(df: DataFrame, parts: Sequence[str]) -> bool:
@@ -58,17 +59,20 @@ def _has_all(df: DataFrame, parts: Sequence[str]) -> bool:
 
 
 def _sum_of(df: DataFrame, parts: Sequence[str]) -> Column:
-    summed = F.lit(0)
+    summed = F.lit(0).cast("bigint")
     for part in parts:
         summed = summed + _whole(df, part)
     return summed
 
 
 def sum_components(df: DataFrame, parts: Sequence[str], total: str) -> DataFrame:
-    """Replace the total by the sum of its parts, not below zero, if they all exist."""
+    """Replace the total by the sum of its parts, not below zero, if they all exist.
+
+    A sum that no int holds is null.
+    """
     if not _has_all(df, parts):
         return df
-    return df.withColumn(total, F.greatest(F.lit(0), _sum_of(df, parts)))
+    return df.withColumn(total, F.greatest(F.lit(0), _sum_of(df, parts)).try_cast("int"))
 
 
 def uplift_probability(rates: UpliftRates, is_segment: Column, is_day: Column, total: Column) -> Column:
@@ -95,7 +99,8 @@ def uplift(
 ) -> DataFrame:
     """Add one casualty with a probability by segment, day and zero-or-positive.
 
-    Only rows that gain one are rewritten; the others keep their text as it was.
+    Only rows that gain one are rewritten; the others keep their text as it was. A
+    number that outgrows its column's type becomes null.
     """
     if total not in df.columns:
         return df
@@ -115,7 +120,7 @@ def uplift(
         rewritten[grown_part] = _whole(df, grown_part) + 1
     return staged.withColumns(
         {
-            column: F.when(F.col(_GAINS), value.cast(df.schema[column].dataType)).otherwise(
+            column: F.when(F.col(_GAINS), value.try_cast(df.schema[column].dataType)).otherwise(
                 F.col(column)
             )
             for column, value in rewritten.items()

@@ -25,6 +25,10 @@ class Layout:
     base_year: int = fixed.BASE_YEAR
     scenario_year: int = fixed.SCENARIO_YEAR
 
+    def __post_init__(self) -> None:
+        if self.base_year == self.scenario_year:
+            raise ValueError(f"base and scenario are both {self.base_year}")
+
     def landing(self, year: int) -> str:
         return f"{self.root}/landing/yr={year}"
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilayer.config import ScenarioConfig
+from trilayer.fixed_values import GROWTH_LIMIT
 from trilayer.functions.numbers import safe_int
 from trilayer.operators.enrich import day_column, segment_column, segment_present
 from trilayer.operators.marts import max_key_column, mode_of
@@ -44,7 +45,9 @@ def build_scenario(base: DataFrame, config: ScenarioConfig) -> Scenario:
 
     Two numbers reach the driver: the row count and the largest id.
     """
-    numbered = number_rows(base, [c for c in config.order_by if c in base.columns] or base.columns)
+    # Ties of the key go by all other columns, so the file layout decides nothing.
+    keys = [c for c in config.order_by if c in base.columns]
+    numbered = number_rows(base, [*keys, *[c for c in base.columns if c not in keys]])
     has_key = config.key in base.columns
     counted = numbered.agg(
         F.count(F.lit(1)).alias("n"),
@@ -78,7 +81,7 @@ def build_scenario(base: DataFrame, config: ScenarioConfig) -> Scenario:
     targets = dict(config.rule.any_of)
     metadata = {
         "seed": config.seed,
-        "growth": config.growth,
+        "growth": max(-GROWTH_LIMIT, min(GROWTH_LIMIT, config.growth)),
         "n_base": counted["n"],
         "n_generated": counted["n_out"],
         "day_codes": list(codes),
@@ -92,10 +95,18 @@ def build_scenario(base: DataFrame, config: ScenarioConfig) -> Scenario:
 def run_scenario(
     spark: SparkSession, base_path: str, scenario_path: str, config: ScenarioConfig
 ) -> Scenario:
-    """Read the base landing folder and replace the scenario's, with its record beside it."""
-    base = read_delimited(spark, base_path).drop(CORRUPT_RECORD, SOURCE_FILE, INGEST_TS)
+    """Read the base landing folder and replace the scenario's, with its record beside it.
+
+    Corrupt lines, which the base year's silver quarantines, are not drawn from; the
+    record says how many were left out.
+    """
+    if base_path.rstrip("/") == scenario_path.rstrip("/"):
+        raise ValueError("the scenario would overwrite its base")
+    landed = read_delimited(spark, base_path)
+    base = landed.filter(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD, SOURCE_FILE, INGEST_TS)
     scenario = build_scenario(base, config)
+    n_corrupt = landed.count() - scenario.metadata["n_base"]
     write_landing(scenario.rows, scenario_path)
-    record = {**scenario.metadata, "source": base_path, "output": scenario_path}
+    record = {**scenario.metadata, "n_corrupt": n_corrupt, "source": base_path, "output": scenario_path}
     write_run_metadata(spark, record, f"{scenario_path}/_run_metadata")
     return scenario

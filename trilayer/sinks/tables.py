@@ -64,10 +64,13 @@ def replace_partition(
     """Overwrite some partitions of a table and leave the others alone.
 
     Without `value` these are the partitions that `df` holds rows for. With it, it is
-    that one partition, even if `df` has no row for it: then it becomes empty.
+    that one partition, even if `df` has no row for it: then it becomes empty. A row
+    that belongs elsewhere, or nowhere, fails the call before anything is written.
     """
     if value is not None:
-        part = df.filter(F.col(partition_by) == value).drop(partition_by)
+        if df.filter(~F.col(partition_by).eqNullSafe(F.lit(value))).limit(1).count():
+            raise ValueError(f"rows of other partitions than {partition_by}={value}")
+        part = df.drop(partition_by)
         part = part.hint("rebalance") if cluster else part
         part.write.mode("overwrite").parquet(f"{path}/{partition_by}={value}")
         return
