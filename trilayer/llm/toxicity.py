@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -27,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm.common import maybe_in, store, table
-from trilayer.llm.words import WordMemory, ascii_words, mix
+from trilayer.llm.common import maybe_in, slices, store, table
+from trilayer.llm.words import MEMORY, WordMemory, ascii_words, mix
 
 ORDER = 5
 BITS = 10  # of a letter's code
 DISCOUNT = 0.75
 SLOTS = 1 << 20
+#: Rows and distinct words a task derives its lists and arrays from at a time.
+ROWS, WORDS_AT_ONCE = 256, 20_000
 #: Words of the stretches whose evidence is compared.
 STRETCH = 48
 #: Labelled rows, at most, that the logistic curve is fitted on.
@@ -55,7 +58,7 @@ def word_codes(word: bytes) -> list[int]:
     return [START] * (ORDER - 1) + codes + [END]
 
 
-def ngram_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def ngram_keys(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Packed n-grams of all words in order, and how many each word has."""
     codes = [word_codes(w) for w in words]
     sizes = np.fromiter(map(len, codes), np.int64, len(codes))
@@ -111,14 +114,13 @@ class WordEvidence:
     """Evidence of words, in bulk for those not yet remembered."""
 
     def __init__(self, models: Models):
-        self.models, self.memory = models, WordMemory(lambda word: None)
+        self.models, self.memory = models, WordMemory(lambda word: None, MEMORY // 2)
 
     def of_texts(self, texts: list[str | None]) -> list[np.ndarray]:
         words = [ascii_words(t) for t in texts]
         if len(self.memory) > self.memory.size:
             self.memory.clear()
-        unseen = list({w for ws in words for w in ws if w not in self.memory})
-        if unseen:
+        for unseen in batched({w for ws in words for w in ws if w not in self.memory}, WORDS_AT_ONCE):
             keys, sizes = ngram_keys(unseen)
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             self.memory.update(zip(unseen, np.add.reduceat(self.models.evidence(keys), starts).tolist()))
@@ -141,24 +143,23 @@ def _type_counts(rows: DataFrame, classed: bool) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> Iterator[pa.RecordBatch]:
             for kind, counter in words.items():
-                if not counter:
-                    continue
-                keys, sizes = ngram_keys(list(counter))
-                weight = np.repeat(np.fromiter(counter.values(), np.int64, len(counter)), sizes)
-                key, at = np.unique(keys, return_inverse=True)
-                n = np.bincount(at, weights=weight).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.astype(np.int64)), pa.array(np.full(len(key), kind, np.int32)), pa.array(n)],
-                    ["key", "kind", "n"],
-                )
+                for some in batched(counter.items(), WORDS_AT_ONCE):
+                    keys, sizes = ngram_keys([word for word, _ in some])
+                    weight = np.repeat(np.fromiter((n for _, n in some), np.int64, len(some)), sizes)
+                    key, at = np.unique(keys, return_inverse=True)
+                    n = np.bincount(at, weights=weight).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.astype(np.int64)), pa.array(np.full(len(key), kind, np.int32)), pa.array(n)],
+                        ["key", "kind", "n"],
+                    )
                 counter.clear()
 
         words: dict[int, Counter] = {}
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             kinds = batch.column(1).to_pylist() if classed else [-1] * batch.num_rows
             for text, kind in zip(batch.column(0), kinds):
                 words.setdefault(kind, Counter()).update(ascii_words(text.as_py()))
-            if sum(map(len, words.values())) > 200_000:
+            if sum(map(len, words.values())) > 5 * WORDS_AT_ONCE:
                 yield from flush()
         yield from flush()
 
@@ -216,7 +217,7 @@ def _featured(docs: DataFrame, models: Models, keep: list[str]) -> DataFrame:
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = WordEvidence(shared.value)
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             pairs = [features_of(e) for e in evidence.of_texts(batch.column("text").to_pylist())]
             values = np.array(pairs, float).reshape(-1, 2)
             score = shared.value.score(values)
@@ -288,8 +289,12 @@ def drop_toxic(docs: DataFrame, models: Models, threshold: float = 0.5) -> DataF
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         evidence = WordEvidence(shared.value)
         for texts in batches:
-            values = np.array([features_of(e) for e in evidence.of_texts(texts.tolist())], float)
-            yield pd.Series(shared.value.score(values.reshape(-1, 2)))
+            pairs = [
+                features_of(e)
+                for start in range(0, len(texts), ROWS)
+                for e in evidence.of_texts(texts.iloc[start : start + ROWS].tolist())
+            ]
+            yield pd.Series(shared.value.score(np.array(pairs, float).reshape(-1, 2)))
 
     return docs.filter(score("text") < threshold)
 
