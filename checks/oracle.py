@@ -129,14 +129,14 @@ PIPELINE = f"with {RAW}, {PARTS}, {SCENARIO}, {LANDED}, {TYPED.replace(' from ra
 
 KPIS = "select yr, strategic, weather, light, count(*) as incidents, sum(casualties)::bigint as casualties_total, avg(casualties) as casualties_avg from gold group by all"
 
-LANDED_YEARS = f"select * from raw where yr = '{BASE_YEAR}' union all select * replace (null as km) from raw where yr = '{SCENARIO_YEAR}'"
+LANDED_YEARS = f"select * from raw where yr = '{BASE_YEAR}' union all select * replace (null as km) from raw where yr <> '{BASE_YEAR}'"
 
 ORACLE_SQL: dict[str, str] = {
     "typed_incidents": BASE + "select * from typed",
     "csv_round_trip": BASE + "select * from raw",
     "sources_union": BASE + LANDED_YEARS,
     "scenario_marker": BASE
-    + f"select case yr when '{BASE_YEAR}' then 'base' else 'scenario' end as scenario, yr, count(*) as n from raw where yr in ('{BASE_YEAR}', '{SCENARIO_YEAR}') group by all",
+    + f"select case yr when '{BASE_YEAR}' then 'base' else 'scenario' end as scenario, yr, count(*) as n from raw group by all",
     "partitioned_round_trip": BASE + "select * from typed",
     "replace_partition": BASE
     + f"select * replace (case when yr = {SCENARIO_YEAR} then casualties + 1 else casualties end as casualties) from typed",
@@ -166,7 +166,8 @@ ORACLE_SQL: dict[str, str] = {
     "lookup_map": BASE
     + f"select incident_id, {_case('weather', fixed.WEATHER_LABELS)} as weather_desc, {_case('light', fixed.LIGHT_LABELS)} as light_desc, {_case('incident_type', fixed.INCIDENT_TYPE_LABELS)} as incident_type_desc from typed",
     "lookup_broadcast": "select c_custkey, n_name as nation_name from customer left join nation on c_nationkey = n_nationkey",
-    "lookup_large": "select coalesce(p_name, 'other') as part_name, count(*) as n from lineitem left join (select * from part where p_size < 25) on l_partkey = p_partkey group by 1",
+    "lookup_large": "select coalesce(p_name, 'other') as part_name, count(*) as n from (select case when l_linenumber = 7 then -l_partkey else l_partkey end as code from lineitem) left join part on code = p_partkey group by 1",
+    "lookup_salted": "select coalesce(p_name, 'other') as part_name, count(*) as n from (select case when l_orderkey % 3 = 0 then 1 else l_partkey end as code from lineitem) left join part on code = p_partkey group by 1",
     "codes_matching": "select distinct p_partkey from part where lower(p_name) like '%ring%' or lower(p_name) like '%bolt%'",
     "segment_flag": BASE
     + f"select incident_id, strategic, {SEGMENT} as segment_label from (select *, {STRATEGIC} as strategic from typed)",
@@ -193,7 +194,7 @@ ORACLE_SQL: dict[str, str] = {
     "number_rows": "select o_orderkey, o_totalprice, row_number() over (order by o_totalprice, o_orderkey) - 1 as row_no from orders",
     "running_total": "select l_orderkey, l_linenumber, quantity, (sum(quantity) over (order by l_orderkey, l_linenumber, quantity rows unbounded preceding))::bigint as running_total from (select l_orderkey, l_linenumber, l_quantity::bigint as quantity from lineitem)",
     "bootstrap": f"""with {RAW},
-      numbered as (select incident_id, casualties, row_number() over (order by incident_id) - 1 as row_no from raw where yr = '{BASE_YEAR}'),
+      numbered as (select incident_id, casualties, row_number() over (order by incident_id) - 1 as row_no from raw),
       sized as (select count(*) as n from numbered),
       draws as (select range as draw_id from range((select 2 * n from sized)))
       select d.draw_id, b.incident_id, b.casualties from draws d, sized s, numbered b where b.row_no = {_hash('pick', 'd.draw_id', 15)} % s.n""",

@@ -88,11 +88,11 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return read_delimited(spark, path).select(*COLUMNS)
 
 
-def land_two_years(spark: SparkSession, sf: str) -> list[SourceSpec]:
-    """The two years in different layouts, and a third source that is not there."""
+def land_years(spark: SparkSession, sf: str) -> list[SourceSpec]:
+    """The base year and all others in different layouts, and a third source that is not there."""
     root, raw = scratch_dir(spark, "sources"), incidents(spark, sf)
     write_landing(raw.filter(F.col("yr") == str(BASE_YEAR)), f"{root}/base")
-    other = raw.filter(F.col("yr") == str(SCENARIO_YEAR))
+    other = raw.filter(F.col("yr") != str(BASE_YEAR))
     write_landing(other.select(*reversed([c for c in COLUMNS if c != "km"])), f"{root}/scenario")
     return [
         SourceSpec((f"{root}/base/one-file.csv", f"{root}/base"), label="base"),
@@ -102,16 +102,16 @@ def land_two_years(spark: SparkSession, sf: str) -> list[SourceSpec]:
 
 
 def sources_union(spark: SparkSession, sf: str) -> DataFrame:
-    return read_sources(spark, land_two_years(spark, sf)).select(*COLUMNS)
+    return read_sources(spark, land_years(spark, sf)).select(*COLUMNS)
 
 
 def scenario_marker(spark: SparkSession, sf: str) -> DataFrame:
-    landed = read_sources(spark, land_two_years(spark, sf))
+    landed = read_sources(spark, land_years(spark, sf))
     return landed.groupBy("scenario", "yr").agg(F.count(F.lit(1)).alias("n"))
 
 
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
-    landed = read_sources(spark, land_two_years(spark, sf))
+    landed = read_sources(spark, land_years(spark, sf))
     return landed.select(ID, "source_file", "ingest_ts")
 
 
@@ -214,14 +214,26 @@ def lookup_broadcast(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lookup_large(spark: SparkSession, sf: str) -> DataFrame:
-    lineitem, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
-    small_parts = part.filter(F.col("p_size") < 25)
+    """All parts; the codes of seventh lines are in no dictionary."""
+    code = F.when(F.col("l_linenumber") == 7, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    lines = table(spark, sf, "lineitem").withColumn("code", code)
     labelled = enrich.lookup_table(
-        lineitem, small_parts, "l_partkey", "part_name", "p_partkey", "p_name", "other"
+        lines, table(spark, sf, "part"), "code", "part_name", "p_partkey", "p_name", "other"
     )
     return labelled.groupBy("part_name").agg(F.count(F.lit(1)).alias("n"))
 
 
+def lookup_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """A dictionary beyond the bound, and a code that holds a third of the lines."""
+    code = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_partkey"))
+    lines = table(spark, sf, "lineitem").withColumn("code", code)
+    labelled = enrich.lookup_table(
+        lines, table(spark, sf, "part"), "code", "part_name", "p_partkey", "p_name", "other",
+        spread_by=["l_orderkey", "l_linenumber"], max_rows=100,
+    )
+    return labelled.groupBy("part_name").agg(F.count(F.lit(1)).alias("n"))
+
+
 def codes_matching(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.codes_matching(table(spark, sf, "part"), "p_partkey", "p_name", ["ring", "bolt"])
 
@@ -332,7 +344,7 @@ def running_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
-    base = base_rows(spark, sf).select(ID, MEASURE)
+    base = incidents(spark, sf).select(ID, MEASURE)
     numbered = ordering.number_rows(base, [ID])
     n = numbered.count()
     return scenario.bootstrap(numbered, n, 2 * n, fixed.SCENARIO_SEED)
@@ -410,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "lookup_map": lookup_map,
     "lookup_broadcast": lookup_broadcast,
     "lookup_large": lookup_large,
+    "lookup_salted": lookup_salted,
     "codes_matching": codes_matching,
     "segment_flag": segment_flag,
     "day_flag": day_flag,

@@ -99,7 +99,7 @@ def by_hand(values, p):
 @pytest.mark.parametrize("bound", [joins.BROADCAST_MAX_ROWS, 0])
 @pytest.mark.parametrize("find", [distribution.percentiles, distribution.percentiles_by_rank])
 def test_percentiles_with_a_hot_group_and_a_hot_value(spark, monkeypatch, find, bound):
-    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (bound, joins.BROADCAST_MAX_BYTES))
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", bound)
     points = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
     df = spark.range(6000).selectExpr(
         "if(id % 3 = 0, 2024, if(id % 7 = 1, null, 2000 + cast(id % 7 as int))) as yr",

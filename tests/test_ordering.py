@@ -49,7 +49,7 @@ def test_several_files_per_task_keep_their_order(spark):
 
 
 def test_numbering_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
     got = rows(ordering.number_rows(hot_table(spark), ["k"]), "row_no")
     assert [r[0] for r in got] == list(range(9000))
 

@@ -39,12 +39,13 @@ def lookup_table(
     label: str,
     default: str | None = None,
     spread_by: Sequence[str] = (),
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Code to label through a dictionary table of any size.
 
     The dictionary is reduced to one label per code first, so the row count of
-    `df` never changes. It is broadcast only if it measures small; `spread_by` names
-    the columns that deal out a hot code otherwise (see `join_dimension`).
+    `df` never changes. It is broadcast only if it measures small, `max_rows` at
+    most; `spread_by` names the columns that deal out a hot code otherwise (see `join_dimension`).
     """
     key = "_lookup_code"
     labels = (
@@ -54,7 +55,9 @@ def lookup_table(
     )
     facts = df.withColumn(key, F.col(src).cast("string"))
     measured = dim.select(code, label)
-    joined = join_dimension(facts, labels, key, spread_by=spread_by, probe=measured).drop(key)
+    joined = join_dimension(
+        facts, labels, key, spread_by=spread_by, probe=measured, max_rows=max_rows
+    ).drop(key)
     if default is None:
         return joined
     return joined.withColumn(dst, F.coalesce(dst, F.lit(default)))

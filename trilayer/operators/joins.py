@@ -11,24 +11,35 @@ from pyspark.sql import types as T
 
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-SALTS = 16
-_SALT = "_salt"
+#: A key with more than this share of the facts is dealt out, and so are fewer than 1000 keys.
+HEAVY_SHARE = 1 / 1000
+#: Fewer rows of a key are never worth dealing out.
+HEAVY_ROWS = 1000
+_SALT, _SALTS, _HEAVY = "_salt", "_salts", "_heavy"
 
 
-def fits_broadcast(
-    dim: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> bool:
-    """Measure the dimension: one job that stops reading after `max_rows` + 1 rows."""
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Measure the dimension: rows and widths, summed in each task before one row of it moves."""
     widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in dim.columns]
     width = reduce(lambda a, b: a + b, widths)
-    probe = (
-        dim.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
-        .first()
+    probe = dim.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
+    return probe["rows"] <= (BROADCAST_MAX_ROWS if max_rows is None else max_rows) and probe["bytes"] <= (
+        BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     )
-    return probe["rows"] <= max_rows and probe["bytes"] <= max_bytes
+
+
+def heavy_keys(facts: DataFrame, key: str) -> DataFrame | None:
+    """The keys, null included, that hold a large share of the facts, each with its number of salts.
+
+    Fewer than 1 / `HEAVY_SHARE` rows whatever the facts hold; none is None.
+    """
+    unit = max(HEAVY_ROWS, facts.count() * HEAVY_SHARE)
+    counts = facts.groupBy(F.col(f"`{key}`").alias(_HEAVY)).agg(F.count(F.lit(1)).alias("n"))
+    heavy = counts.filter(F.col("n") > unit).select(_HEAVY, F.ceil(F.col("n") / unit).cast("int").alias(_SALTS))
+    found = heavy.collect()
+    return facts.sparkSession.createDataFrame(found, heavy.schema) if found else None
 
 
 def join_dimension(
@@ -38,22 +49,34 @@ def join_dimension(
     how: str = "left",
     spread_by: Sequence[str] = (),
     probe: DataFrame | None = None,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Join a dimension with one row per key: broadcast if it measures small, else salted.
+    """Join a dimension with one row per key: broadcast if it measures small, else shuffled.
 
-    Beyond the bound a key, or null, may hold most of the facts. The salt deals such
-    a group out over several tasks; it is a hash of the `spread_by` columns (all plain
-    columns by default; name a row id to read no others), so a recomputed task
-    repeats it. Rows that agree in all of them, copies of one row, are left to
-    adaptive skew join.
+    Beyond the bound a key, or null, may hold most of the facts. Such keys are counted and
+    dealt out over as many salts as their rows need; only their rows of the dimension are
+    copied, all others are shuffled once. The salt is a hash of the `spread_by` columns (all
+    plain columns by default; name a row id to read no others), so a recomputed task repeats
+    it. Rows that agree in all of them, copies of one row, are left to adaptive skew join.
 
     `probe` is a cheaper frame to measure instead, with no fewer or narrower rows.
     """
-    if fits_broadcast(dim if probe is None else probe):
+    if how not in ("left", "inner"):
+        raise ValueError(f"a dimension is joined left or inner, not {how}")
+    if fits_broadcast(dim if probe is None else probe, max_rows, max_bytes):
         return facts.join(F.broadcast(dim), key, how)
+    heavy = heavy_keys(facts, key)
+    if heavy is None:
+        return facts.join(dim, key, how)
     names = list(spread_by) or [
         f.name for f in facts.schema.fields if isinstance(f.dataType, T.AtomicType)
     ]
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in names]), F.lit(SALTS)).cast("int")
-    copies = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return facts.withColumn(_SALT, salt).join(copies, [key, _SALT], how).drop(_SALT)
+    spread = F.xxhash64(*[F.col(f"`{n}`") for n in names])
+    is_heavy = F.col(f"`{key}`").eqNullSafe(F.col(_HEAVY))
+    salts = F.coalesce(_SALTS, F.lit(1))
+    dealt = facts.join(F.broadcast(heavy), is_heavy, "left")
+    dealt = dealt.withColumn(_SALT, F.pmod(spread, salts).cast("int")).drop(_HEAVY, _SALTS)
+    copies = dim.join(F.broadcast(heavy), is_heavy, "left")
+    copies = copies.withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1))).drop(_HEAVY, _SALTS)
+    return dealt.join(copies, [key, _SALT], how).drop(_SALT)

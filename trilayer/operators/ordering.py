@@ -63,6 +63,10 @@ def _with_offsets(spark: SparkSession, path: str, weight: Column) -> DataFrame:
     earlier = Window.orderBy(*_file_order()).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_weight").over(earlier), F.lit(0))
     offsets = per_file.select(_FILE, before.alias(_BEFORE))
+    # Stored, as it is read by the size probe and by the join.
+    stored = scratch_dir(spark, "offsets")
+    offsets.write.parquet(stored)
+    offsets = spark.read.schema(offsets.schema).parquet(stored)
     return join_dimension(rows, offsets, _FILE, "inner", spread_by=[_INDEX])
 
 
