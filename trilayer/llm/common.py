@@ -45,29 +45,38 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
 FILTER_BITS = 1 << 26
 
 
-def maybe_in(column: Column, ids: DataFrame) -> Column:
-    """True where `column` is in the one column of `ids`, and by chance elsewhere.
-
-    Keeps most other rows out of the exact join that follows. The filter has a fixed
-    size; when the ids outgrow it, it lets more rows through and the join does the work.
-    Nulls are never in.
-    """
-    at = F.pmod(F.xxhash64(F.col(f"`{ids.columns[0]}`")), F.lit(FILTER_BITS))
+def bit_filter(positions: DataFrame) -> np.ndarray:
+    """The `FILTER_BITS` bits as 64-bit words, those at the one column's positions set."""
+    at = F.col(f"`{positions.columns[0]}`")
     rows = (
-        ids.filter(F.col(f"`{ids.columns[0]}`").isNotNull())
-        .select((at / 64).cast("long").alias("word"), (at % 64).cast("int").alias("bit"))
+        positions.select((at / 64).cast("long").alias("word"), (at % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("mask"))
         .toArrow()
     )
     mask = np.zeros(FILTER_BITS // 64, np.uint64)
     mask[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
-    shared = ids.sparkSession.sparkContext.broadcast(mask)
+    return mask
+
+
+def bits_at(mask: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (mask[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def maybe_in(column: Column, ids: DataFrame) -> Column:
+    """True where `column` is in the one column of `ids`, and by chance elsewhere.
+
+    Keeps most other rows out of the exact join that follows. The filter has a fixed
+    size; when the ids outgrow it, it lets more rows through and the join does the work.
+    Nulls are never in.
+    """
+    own = F.col(f"`{ids.columns[0]}`")
+    place = F.pmod(F.xxhash64(own), F.lit(FILTER_BITS)).alias("at")
+    shared = ids.sparkSession.sparkContext.broadcast(bit_filter(ids.filter(own.isNotNull()).select(place)))
 
     @F.pandas_udf("boolean")
     def maybe(at: pd.Series) -> pd.Series:
-        at = at.to_numpy(np.int64)
-        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
+        return pd.Series(bits_at(shared.value, at.to_numpy(np.int64)))
 
     return column.isNotNull() & maybe(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
 
