@@ -1,18 +1,21 @@
 """Toxicity by class-conditional Kneser-Ney models over the letters of words.
 
-Each class has a model of order `ORDER`: a letter given the letters before it in its
-word, by absolute discounting. Both classes back off to the same lower orders, whose
-Kneser-Ney continuation counts come from every document, labelled or not. An expression
-rare in the labels is thus judged alike by both and moves no score. Letters rather than
-words, because insults are inflected and compounded into words that no label has shown.
-
-A word's evidence is its log-likelihood under the toxic model less that under the
-ordinary one; a document's is that sum over its length, for the whole and for its most
-suspicious stretch. A logistic curve, fitted on labelled rows kept out of the counts,
-turns the two into a probability.
-
-The counts are gathered by Spark from all rows. The tables sent to the tasks have a
-fixed number of slots addressed by hash, so their size does not grow with the corpus.
+Each class has a model of order `ORDER`: a letter given the letters before it in its word.
+Both back off to one shared model, Kneser-Ney by continuation counts, gathered from every
+document, labelled or not. An expression that is rare in the labels is thus judged alike by
+both and moves no score. Letters rather than words, because insults are inflected and
+compounded into words that no label has shown.
+
+A word's evidence is its log-likelihood under the toxic model less that under the ordinary
+one; a document's is the sum of what passes a margin over its length, for the whole and for
+its most suspicious stretch. A logistic curve, fitted on labelled rows kept out of the class counts, turns the
+two into a probability.
+
+Where an n-gram is in no labelled row, the shared probability cancels out of the ratio: what
+is left depends on the context alone, and is nothing where the context is unseen too. So
+the scoring needs the evidence of the labelled rows' n-grams only. All counts are exact and
+keyed by the n-gram; the corpus is counted, and both are joined, by Spark. The table sent to
+the tasks is bounded by `FIT_ROWS`, the labelled rows that the classes are fitted on.
 """
 
 from __future__ import annotations
@@ -25,191 +28,251 @@ from itertools import batched
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trilayer.llm.common import maybe_in, slices, store, table
-from trilayer.llm.words import MEMORY, WordMemory, ascii_words, mix
+from trilayer.llm.words import MEMORY, MEMORY_BYTES, mix, word_lists
 
 ORDER = 5
-BITS = 10  # of a letter's code
 DISCOUNT = 0.75
-SLOTS = 1 << 20
+#: Weight of the shared model in a class, in observations, beside the discounted ones.
+STRENGTH = 16.0
+#: Evidence that a word has to pass: what a language's share in the labels makes of its
+#: ordinary words, and the noise of rare ones, stays below. And the least a feature counts.
+MARGIN, FLOOR = 1.0, 0.01
+#: Labelled rows that classes and curve are fitted on, about; a quarter is the curve's.
+FIT_ROWS = 50_000
 #: Rows and distinct words a task derives its lists and arrays from at a time.
 ROWS, WORDS_AT_ONCE = 256, 20_000
+#: Bytes of a word; a longer one is judged in pieces of so many.
+LONGEST = 1000
 #: Words of the stretches whose evidence is compared.
 STRETCH = 48
-#: Labelled rows, at most, that the logistic curve is fitted on.
-CURVE_ROWS = 20_000
 FOLDS, HELD_OUT, CURVE_FOLD = 5, 0, 1
-START, END = 1, 2
+#: Marks before and after a word: white space, which no word holds.
+START, END = " ", "\n"
 _EDGES = b".,;:!?\"'()[]{}<>|/\\*&%$#@~^_=+-"
-_LETTER = np.uint64((1 << BITS) - 1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def fold_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(FOLDS))
 
 
-def word_codes(word: bytes) -> list[int]:
-    """Letter codes between the start and end marks; edge punctuation is left out."""
-    text = word.strip(_EDGES).decode("utf-8", "replace").lower()
-    codes = [3 + ord(c) % ((1 << BITS) - 3) for c in text]
-    return [START] * (ORDER - 1) + codes + [END]
+def words_of(text: str | None) -> Iterator[list[bytes]]:
+    """Lists of a whole text's words, a bounded number of bytes at a time."""
+    for words in word_lists(text):
+        if max(map(len, words), default=0) > LONGEST:
+            words = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+        yield words
 
 
-def ngram_keys(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams of all words in order, and how many each word has."""
-    codes = [word_codes(w) for w in words]
-    sizes = np.fromiter(map(len, codes), np.int64, len(codes))
-    keys = np.fromiter((c for cs in codes for c in cs), np.uint64, int(sizes.sum()))
-    packed = np.zeros(len(keys), np.uint64)
-    for back in range(ORDER - 1, -1, -1):
-        packed = (packed << np.uint64(BITS)) | np.concatenate((np.zeros(back, np.uint64), keys[: len(keys) - back]))
-    ends = np.cumsum(sizes)
-    inside = np.ones(len(keys), bool)
-    for skip in range(ORDER - 1):
-        inside[ends - sizes + skip] = False
-    return packed[inside], sizes - (ORDER - 1)
+def _letters(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all words between their marks, and which of them end an n-gram."""
+    plain = [w.strip(_EDGES).decode("utf-8", "replace").lower() for w in words]
+    marks = START * (ORDER - 1)
+    codes = np.frombuffer("".join([f"{marks}{w}{END}" for w in plain]).encode("utf-32-le"), np.uint32)
+    sizes = np.fromiter(map(len, plain), np.int64, len(plain)) + 1
+    return codes, np.repeat(np.cumsum(sizes + ORDER - 1) - sizes, sizes) + _places(sizes)
 
 
-def slot_of(keys: np.ndarray, salt: int) -> np.ndarray:
-    return (mix(keys ^ mix(np.full(1, salt + 1, np.uint64))) % np.uint64(SLOTS)).astype(np.int64)
+def _places(sizes: np.ndarray) -> np.ndarray:
+    """0..size-1 for every size, one after another."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-class Models:
-    """Hashed count tables: per class (ngram, context, context types), shared by order."""
-
-    NAMES = ("ngram", "context", "types")
-    KEYS = tuple((name, who) for who in ("0", "1", "shared") for name in ("ngram", "context", "types"))
-
-    def __init__(self) -> None:
-        self.tables = {key: np.zeros(SLOTS, np.float32) for key in self.KEYS}
-        self.curve = np.zeros(3)
-
-    def _level(self, who: str, gram, context, lower: np.ndarray) -> np.ndarray:
-        counts, sums, types = (self.tables[(name, who)] for name in self.NAMES)
-        total = sums[context]
-        seen = total > 0
-        base = np.where(seen, total, 1)
-        high = np.maximum(counts[gram] - DISCOUNT, 0) / base
-        share = np.where(seen, np.minimum(DISCOUNT * types[context] / base, 1), 1)
-        return high + share * lower
-
-    def evidence(self, keys: np.ndarray) -> np.ndarray:
-        """Log-likelihood under the toxic model less that under the ordinary one."""
-        p = np.full(len(keys), 2.0**-BITS)
-        for order in range(1, ORDER):
-            gram = keys & np.uint64((1 << (BITS * order)) - 1)
-            p = self._level("shared", slot_of(gram, order), slot_of(gram >> np.uint64(BITS), order), p)
-        gram, context = slot_of(keys, ORDER), slot_of(keys >> np.uint64(BITS), ORDER)
-        return np.log(self._level("1", gram, context, p)) - np.log(self._level("0", gram, context, p))
+def gram_names(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit names of the `ORDER` letters that end at each place, and of all but the last."""
+    parts = mix(codes.astype(np.uint64) + np.uint64(1))
+    context = np.zeros(len(codes), np.uint64)
+    for back in range(ORDER - 1, 0, -1):
+        context = context * _STEP
+        context[back:] += parts[:-back]
+    return mix(context * _STEP + parts), mix(context)
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        z = features @ self.curve[:2] + self.curve[2]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
+def _counted_grams(words: Sequence[bytes], weights: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Distinct n-grams of the words, as texts, and their weights."""
+    codes, ends = _letters(words)
+    sizes = np.diff(np.flatnonzero(np.concatenate((codes == ord(END), [True]))), prepend=-1)[: len(words)]
+    weight = np.repeat(weights, sizes - (ORDER - 1))
+    names, _ = gram_names(codes)
+    _, first, at = np.unique(names[ends], return_index=True, return_inverse=True)
+    letters = np.stack([codes[ends[first] - back] for back in range(ORDER - 1, -1, -1)], axis=1)
+    grams = pa.array(np.ascontiguousarray(letters).view(f"<U{ORDER}").ravel().tolist(), pa.string())
+    return grams, np.bincount(at, weights=weight, minlength=len(first)).astype(np.int64)
 
-class WordEvidence:
-    """Evidence of words, in bulk for those not yet remembered."""
 
-    def __init__(self, models: Models):
-        self.models, self.memory = models, WordMemory(lambda word: None, MEMORY // 2)
-
-    def of_texts(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [ascii_words(t) for t in texts]
-        if len(self.memory) > self.memory.size:
-            self.memory.clear()
-        for unseen in batched({w for ws in words for w in ws if w not in self.memory}, WORDS_AT_ONCE):
-            keys, sizes = ngram_keys(unseen)
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            self.memory.update(zip(unseen, np.add.reduceat(self.models.evidence(keys), starts).tolist()))
-        return [np.fromiter(map(self.memory.__getitem__, ws), float, len(ws)) for ws in words]
-
-
-def features_of(evidence: np.ndarray) -> tuple[float, float]:
-    """Evidence per word of the whole text and of its most suspicious stretch."""
-    n = len(evidence)
-    if not n:
-        return 0.0, 0.0
-    total = np.concatenate(([0.0], np.cumsum(evidence)))
-    width = min(n, STRETCH)
-    return total[n] / n, float((total[width:] - total[:-width]).max()) / STRETCH
-
-
-def _type_counts(rows: DataFrame, classed: bool) -> DataFrame:
-    """Distinct n-grams of the given rows with their counts; a task counts words first."""
+def _gram_counts(rows: DataFrame, kind: str | None = None) -> DataFrame:
+    """gram, kind, n over all texts; a task counts words first. `kind` names a column of
+    small whole numbers, without it all rows are of kind 0."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> Iterator[pa.RecordBatch]:
-            for kind, counter in words.items():
+            for of, counter in words.items():
                 for some in batched(counter.items(), WORDS_AT_ONCE):
-                    keys, sizes = ngram_keys([word for word, _ in some])
-                    weight = np.repeat(np.fromiter((n for _, n in some), np.int64, len(some)), sizes)
-                    key, at = np.unique(keys, return_inverse=True)
-                    n = np.bincount(at, weights=weight).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.astype(np.int64)), pa.array(np.full(len(key), kind, np.int32)), pa.array(n)],
-                        ["key", "kind", "n"],
-                    )
+                    grams, n = _counted_grams([w for w, _ in some], np.fromiter((c for _, c in some), np.int64, len(some)))
+                    arrays = [grams, pa.array(np.full(len(n), of, np.int32)), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["gram", "kind", "n"])
                 counter.clear()
 
         words: dict[int, Counter] = {}
         for batch in slices(batches, ROWS):
-            kinds = batch.column(1).to_pylist() if classed else [-1] * batch.num_rows
-            for text, kind in zip(batch.column(0), kinds):
-                words.setdefault(kind, Counter()).update(ascii_words(text.as_py()))
+            kinds = batch.column(1).to_pylist() if kind else [0] * batch.num_rows
+            for text, of in zip(batch.column(0), kinds):
+                for some in words_of(text.as_py()):
+                    words.setdefault(of, Counter()).update(some)
             if sum(map(len, words.values())) > 5 * WORDS_AT_ONCE:
                 yield from flush()
         yield from flush()
 
-    columns = ["text", "toxic"] if classed else ["text"]
-    counted = rows.select(*columns).mapInArrow(count, "key long, kind int, n long")
-    return counted.groupBy("key", "kind").agg(F.sum("n").alias("n"))
+    counted = rows.select("text", *([kind] if kind else [])).mapInArrow(count, "gram string, kind int, n long")
+    return counted.groupBy("gram", "kind").agg(F.sum("n").alias("n"))
 
 
-def _slots(types: DataFrame, order: int, who: str, weight: str) -> DataFrame:
-    """(table_no, slot, value) rows of one level from its n-grams and weights."""
+def _shared(grams: DataFrame) -> DataFrame:
+    """gram, p: the shared model's probability of every n-gram (gram, n) of the corpus.
 
-    def to_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys = batch["key"].to_numpy(np.int64).view(np.uint64)
-            value = batch[weight].to_numpy(float)
-            contexts = slot_of(keys >> np.uint64(BITS), order)
-            for name, slot, v in (
-                ("ngram", slot_of(keys, order), value),
-                ("context", contexts, value),
-                ("types", contexts, np.ones(len(keys))),
-            ):
-                used, at = np.unique(slot, return_inverse=True)
-                table_no = Models.KEYS.index((name, who))
-                yield pd.DataFrame({"table_no": table_no, "slot": used, "value": np.bincount(at, weights=v)})
+    Below the highest order a count is that of the letters seen before: how many longer
+    n-grams end in this one. Contexts and endings of an n-gram are as many as there are
+    letters at most, so no group is large.
+    """
+    orders = [grams]
+    for _ in range(ORDER - 1):
+        shorter = F.expr("substring(gram, 2)").alias("gram")
+        orders.append(orders[-1].select(shorter).groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+    letters = store(orders.pop(), "letters")
+    every = letters.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types")).first()
+    base = 1 / ((every["types"] or 0) + 1)
+    total, types = every["total"] or 1, every["types"]
+    known = letters.select("gram", ((F.col("n") - DISCOUNT + DISCOUNT * types * base) / total).alias("p"))
+    while orders:
+        context = Window.partitionBy(F.expr(f"substring(gram, 1, {ORDER - len(orders)})"))
+        of = orders.pop().withColumn("total", F.sum("n").over(context)).withColumn("types", F.count(F.lit(1)).over(context))
+        lower = known.select(F.col("gram").alias("ending"), F.col("p").alias("lower"))
+        joined = of.withColumn("ending", F.expr("substring(gram, 2)")).join(lower, "ending")
+        p = (F.col("n") - DISCOUNT + DISCOUNT * F.col("types") * F.col("lower")) / F.col("total")
+        known = joined.select("gram", p.alias("p"))
+    return known
 
-    return types.mapInPandas(to_slots, "table_no int, slot long, value double")
+
+class Models:
+    """Evidence of the n-grams and contexts of the labelled rows, and the curve."""
+
+    def __init__(self, grams: Sequence[str] = (), values: Sequence[float] = (), contexts: Sequence[str] = (), defaults: Sequence[float] = ()):
+        self.grams, self.values = self._sorted(grams, values, 0)
+        self.contexts, self.defaults = self._sorted(contexts, defaults, 1)
+        self.curve = np.array([0.0, 0.0, -1.0])
+
+    @staticmethod
+    def _sorted(texts: Sequence[str], values: Sequence[float], which: int) -> tuple[np.ndarray, np.ndarray]:
+        # A context is named as an n-gram of which the last letter does not count.
+        codes = np.frombuffer("".join(t + END * which for t in texts).encode("utf-32-le"), np.uint32)
+        names = gram_names(codes)[which][ORDER - 1 :: ORDER]
+        order = np.argsort(names)
+        return names[order], np.asarray(values, np.float32)[order]
+
+    def evidence(self, words: Sequence[bytes]) -> np.ndarray:
+        """Log-likelihood of each word under the toxic model less that under the ordinary one."""
+        codes, ends = _letters(words)
+        names, contexts = gram_names(codes)
+        names, contexts = names[ends], contexts[ends]
+        found = np.zeros(len(codes), np.float64)
+        values, seen = self._look_up(self.grams, self.values, names)
+        others = ~seen
+        values[others] = self._look_up(self.contexts, self.defaults, contexts[others])[0]
+        found[ends] = values
+        starts = np.concatenate(([0], np.flatnonzero(codes == ord(END))[:-1] + 1))
+        return np.add.reduceat(found, starts)
+
+    @staticmethod
+    def _look_up(names: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(names):
+            return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+        at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+        seen = names[at] == wanted
+        return np.where(seen, values[at], 0.0), seen
+
+    def score(self, features: np.ndarray) -> np.ndarray:
+        z = (np.log(features + FLOOR) * self.curve[:2]).sum(axis=1) + self.curve[2]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+class WordEvidence:
+    """Evidence of words, in bulk for those not yet remembered."""
+
+    def __init__(self, models: Models):
+        self.models, self.memory, self.held = models, {}, 0
+
+    def of_texts(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        found: list[list[np.ndarray]] = [[np.zeros(0)] for _ in texts]
+        some, held = [], 0
+        for at, text in enumerate(texts):
+            for words in words_of(text):
+                some.append((at, words))
+                held += len(words)
+                if held > 10 * WORDS_AT_ONCE:
+                    self._judge(some, found)
+                    some, held = [], 0
+        self._judge(some, found)
+        return [np.concatenate(parts) for parts in found]
+
+    def _judge(self, lists: list[tuple[int, list[bytes]]], found: list[list[np.ndarray]]) -> None:
+        if len(self.memory) > MEMORY // 2 or self.held > MEMORY_BYTES:
+            self.memory.clear()
+            self.held = 0
+        unseen = {w for _, words in lists for w in words if w not in self.memory}
+        for some in batched(unseen, WORDS_AT_ONCE):
+            self.memory.update(zip(some, self.models.evidence(some).tolist()))
+        self.held += sum(map(len, unseen))
+        for at, words in lists:
+            found[at].append(np.fromiter(map(self.memory.__getitem__, words), float, len(words)))
+
+
+def features_of(evidence: np.ndarray) -> tuple[float, float]:
+    """Evidence beyond the margin per word, of the whole text and of its most suspicious stretch."""
+    n = len(evidence)
+    if not n:
+        return 0.0, 0.0
+    total = np.concatenate(([0.0], np.cumsum(np.maximum(evidence - MARGIN, 0))))
+    width = min(n, STRETCH)
+    return total[n] / n, float((total[width:] - total[:-width]).max()) / STRETCH
 
 
 def fit_counts(docs: DataFrame, labelled: DataFrame) -> Models:
-    """`labelled` has text and toxic, `docs` text. Empty tables give models of no evidence."""
-    classed = store(_type_counts(labelled, classed=True), "class-ngrams")
-    parts = [_slots(classed.filter(F.col("kind") == c), ORDER, str(c), "n") for c in (0, 1)]
-    # Continuation counts: of n-grams one letter longer, how many end in this one.
-    shared = store(_type_counts(docs, classed=False), "corpus-ngrams").select("key")
-    for order in range(ORDER - 1, 0, -1):
-        shorter = F.col("key").bitwiseAND((1 << (BITS * order)) - 1)
-        shared = shared.groupBy(shorter.alias("key")).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(_slots(shared, order, "shared", "n"))
-        shared = shared.select("key", "n")
-    models = Models()
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    sums = rows.groupBy("table_no", "slot").agg(F.sum("value").cast("float").alias("value"))
-    sums = store(sums, "model-tables")
-    # One table of at most SLOTS rows at a time.
-    for number, key in enumerate(Models.KEYS):
-        part = sums.filter(F.col("table_no") == number).select("slot", "value").toArrow()
-        models.tables[key][part.column(0).to_numpy()] = part.column(1).to_numpy()
-    return models
+    """`labelled` has text and toxic, `docs` text; the labelled rows are among the docs'.
+    Empty tables give models of no evidence."""
+    corpus = store(_gram_counts(docs).select("gram", "n"), "corpus-grams")
+    classed = _gram_counts(labelled, "toxic").groupBy("gram").agg(
+        *[F.coalesce(F.sum(F.when(F.col("kind") == c, F.col("n"))), F.lit(0)).alias(f"n{c}") for c in (0, 1)]
+    )
+    context = F.expr(f"substring(gram, 1, {ORDER - 1})")
+    together = Window.partitionBy("context")
+    classed = classed.withColumn("context", context)
+    for c in (0, 1):
+        classed = classed.withColumn(f"total{c}", F.sum(f"n{c}").over(together))
+        classed = classed.withColumn(f"types{c}", F.count_if(F.col(f"n{c}") > 0).over(together))
+    classed = store(classed, "class-grams").join(_shared(corpus), "gram")
+
+    def free(c: int) -> Column:
+        """The share of the shared model in a class, in a context."""
+        return (STRENGTH + DISCOUNT * F.col(f"types{c}")) / (STRENGTH + F.col(f"total{c}"))
+
+    def likelihood(c: int) -> Column:
+        return F.greatest(F.col(f"n{c}") - DISCOUNT, F.lit(0.0)) / (STRENGTH + F.col(f"total{c}")) + free(c) * F.col("p")
+
+    judged = store(
+        classed.select(
+            "gram", "context", (F.log(likelihood(1)) - F.log(likelihood(0))).cast("float").alias("evidence"),
+            (F.log(free(1)) - F.log(free(0))).cast("float").alias("default"),
+        ),
+        "evidence",
+    )
+    # Bounded by the labelled rows that were counted.
+    grams = judged.select("gram", "evidence").toArrow()
+    contexts = judged.groupBy("context").agg(F.first("default").alias("default")).toArrow()
+    return Models(*(c.to_pylist() for t in (grams, contexts) for c in t.columns))
 
 
 def _featured(docs: DataFrame, models: Models, keep: list[str]) -> DataFrame:
@@ -239,9 +302,9 @@ def fit_curve(values: np.ndarray, toxic: np.ndarray, steps: int = 60) -> np.ndar
     x = np.column_stack((values / scale, np.ones(len(values))))
     w = np.zeros(3)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - toxic) + 0.05 * w * (1, 1, 0)
-        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.05, 0.05, 1e-9])
+        p = 1 / (1 + np.exp(-np.clip((x * w).sum(axis=1), -30, 30)))
+        slope = (x * (p - toxic)[:, None]).sum(axis=0) + 0.05 * w * (1, 1, 0)
+        bend = np.einsum("ni,n,nj->ij", x, p * (1 - p), x) + np.diag([0.05, 0.05, 1e-9])
         step = np.linalg.solve(bend, slope)
         w = w - step / max(1.0, np.abs(step).max())
     return np.append(w[:2] / scale, w[2])
@@ -256,17 +319,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Models:
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
     )
-    known = known.filter(fold_of(F.col("doc_id")) != HELD_OUT)
+    known = store(known.filter(fold_of(F.col("doc_id")) != HELD_OUT), "known-labels")
+    # Rows are taken by a hash of their id, so no task has to bring them together.
+    share = min(1.0, FIT_ROWS / max(known.count(), 1))
+    known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < int(share * 2**31))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     likely = texts.filter(maybe_in(F.col("doc_id"), known.select("doc_id")))
     labelled = store(likely.join(known, "doc_id"), "labelled")
-    fold = fold_of(F.col("doc_id"))
-    models = fit_counts(texts, labelled.filter(fold != CURVE_FOLD))
-    sample = labelled.filter(fold == CURVE_FOLD).withColumn("place", F.xxhash64("doc_id"))
-    sample = sample.orderBy("place", "doc_id", "text", "toxic").limit(CURVE_ROWS)
-    rows = _featured(sample.select("toxic", "text"), models, ["toxic"]).toPandas()
+    of_curve = fold_of(F.col("doc_id")) == CURVE_FOLD
+    models = fit_counts(texts, labelled.filter(~of_curve))
+    sample = labelled.filter(of_curve).select("toxic", "text")
+    rows = _featured(sample, models, ["toxic"]).toPandas()
+    rows = rows.sort_values(["mean_evidence", "peak_evidence", "toxic"])
     values = rows[["mean_evidence", "peak_evidence"]].to_numpy(float).reshape(-1, 2)
-    models.curve = fit_curve(values, rows.toxic.to_numpy(float))
+    models.curve = fit_curve(np.log(values + FLOOR), rows.toxic.to_numpy(float))
     return models
 
 

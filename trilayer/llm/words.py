@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import xxhash
 
-#: Words a task remembers; the memory is dropped when full, which changes no result.
-MEMORY = 200_000
+#: Words a task remembers and their bytes; the memory is dropped when full, which changes
+#: no result.
+MEMORY, MEMORY_BYTES = 200_000, 16 << 20
 
 
 class WordMemory(dict):
@@ -16,12 +18,15 @@ class WordMemory(dict):
 
     def __init__(self, make: Callable[[bytes], object], size: int = MEMORY):
         super().__init__()
-        self.make, self.size = make, size
+        self.make, self.size, self.held = make, size, 0
 
     def __missing__(self, word: bytes):
-        if len(self) >= self.size:
+        value = self.make(word)
+        self.held += len(word) + (len(value) if isinstance(value, bytes) else 0)
+        if len(self) >= self.size or self.held > MEMORY_BYTES:
             self.clear()
-        value = self[word] = self.make(word)
+            self.held = 0
+        self[word] = value
         return value
 
 
@@ -38,6 +43,22 @@ def ascii_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+#: Bytes of text whose words are listed at a time.
+LISTED = 1 << 20
+_SPACE = re.compile(rb"[ \t-\r]")
+
+
+def word_lists(text: str | None) -> Iterator[list[bytes]]:
+    """`ascii_words`, in lists of a bounded number of bytes."""
+    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+    start = 0
+    while start < len(raw):
+        space = _SPACE.search(raw, start + LISTED) if start + LISTED < len(raw) else None
+        end = space.start() if space else len(raw)
+        yield raw[start:end].split()
+        start = end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit words."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
