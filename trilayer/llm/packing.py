@@ -65,6 +65,26 @@ def best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[
     return float(best[capacity]), counts
 
 
+def _times(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A product of a matrix and a vector, either way round. Not by a linear algebra library:
+    its threads have been seen to block in a driver that runs a JVM beside it."""
+    return (left * right).sum(axis=1) if left.ndim == 2 else (left[:, None] * right).sum(axis=0)
+
+
+def inverse_of(matrix: np.ndarray) -> np.ndarray:
+    """By Gauss-Jordan elimination with row exchanges."""
+    n = len(matrix)
+    work = np.concatenate((matrix.astype(float), np.eye(n)), axis=1)
+    for column in range(n):
+        pivot = column + int(np.abs(work[column:, column]).argmax())
+        work[[column, pivot]] = work[[pivot, column]]
+        work[column] /= work[column, column]
+        others = np.flatnonzero(work[:, column])
+        others = others[others != column]
+        work[others] -= work[others, column][:, None] * work[column]
+    return work[:, n:]
+
+
 def solve_patterns(
     sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -85,12 +105,12 @@ def solve_patterns(
         if demand[item] > demand[partner]:
             basis[:, partner], cost[partner] = 0, 0
             basis[partner, partner] = -1
-    inverse = np.linalg.inv(basis)
-    amount = np.maximum(inverse @ demand, 0)
+    inverse = inverse_of(basis)
+    amount = np.maximum(_times(inverse, demand), 0)
     center = sizes / capacity
-    bound = float(demand @ center)
+    bound = float((demand * center).sum())
     for step in range(1, STEPS_PER_CLASS * classes + 100):
-        prices = cost @ inverse
+        prices = _times(cost, inverse)
         if prices.min() < -1e-9:
             item = int(prices.argmin())
             counts, price = np.zeros(classes), 0.0
@@ -99,15 +119,15 @@ def solve_patterns(
             for weight in (0.9, 0.5, 0.0):
                 mixed = np.maximum(weight * center + (1 - weight) * prices, 0)
                 value, counts = best_pattern(sizes, mixed, capacity)
-                if counts @ prices > 1 + 1e-6:
+                if (counts * prices).sum() > 1 + 1e-6:
                     break
             price = 1.0
-            lower = float(demand @ mixed) / max(value, 1.0)
+            lower = float((demand * mixed).sum()) / max(value, 1.0)
             if lower > bound:
                 bound, center = lower, mixed / max(value, 1.0)
-            if counts @ prices <= 1 + 1e-6 or cost @ amount <= bound * (1 + gap):
+            if (counts * prices).sum() <= 1 + 1e-6 or (cost * amount).sum() <= bound * (1 + gap):
                 break
-        direction = inverse @ counts
+        direction = _times(inverse, counts)
         enters = direction > 1e-9
         if not enters.any():
             break
@@ -117,10 +137,10 @@ def solve_patterns(
         if step % 50:
             inverse[leaving] /= direction[leaving]
             others = np.arange(classes) != leaving
-            inverse[others] -= np.outer(direction[others], inverse[leaving])
+            inverse[others] -= direction[others][:, None] * inverse[leaving]
         else:
-            inverse = np.linalg.inv(basis)
-        amount = np.maximum(inverse @ demand, 0)
+            inverse = inverse_of(basis)
+        amount = np.maximum(_times(inverse, demand), 0)
     patterns = cost > 0
     return basis[:, patterns], amount[patterns]
 
