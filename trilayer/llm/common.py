@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROW = "_row"
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """`docs` with a column `ROW` that names each row by its file and its place there.
+
+    The name stays the same however often and with however many tasks the files are read.
+    Rows that are not read straight from Parquet files are stored first.
+    """
+    name = F.struct(
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index")
+    ).alias(ROW)
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    try:
+        return docs.select(*every, name)
+    except AnalysisException:
+        return store(docs, "located").select(*every, name)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """Batches cut small, so that what a task derives from one stays small too."""
     for batch in batches:
@@ -87,3 +107,8 @@ def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     gone = ids.select(F.col(f"`{ids.columns[0]}`").alias("_gone")).distinct()
     suspects = rows.filter(marked).join(gone, F.col(column) == F.col("_gone"), "left_anti")
     return rows.filter(~marked).union(suspects)
+
+
+def without_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """`located` rows less those named in `gone`, as they were before they were located."""
+    return without(rows, ROW, store(gone.select(ROW), "gone")).drop(ROW)

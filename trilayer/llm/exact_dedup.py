@@ -13,12 +13,10 @@ family and the length in bytes. Texts that differ in any are never merged.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm.common import store, table
+from trilayer.llm.common import ROW, located, store, table, without_rows
 
 FAN_IN = 8
 _PROOF = ["_sha", "_other", "_bytes"]
@@ -43,7 +41,8 @@ def exact_groups(
     group has no other; keep_id is then null. An empty table gives no rows. Other
     columns of `docs` are not read, so their names cannot clash.
     """
-    return _grouped(docs, keep, normalise, [], fan_in).select(
+    row = F.monotonically_increasing_id()
+    return _grouped(docs, row, keep, normalise, fan_in).select(
         F.col("_id").alias("doc_id"),
         F.col("_kept.id").alias("keep_id"),
         F.col("_total").alias("group_size"),
@@ -53,24 +52,23 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """The rows of `docs` that stay, all columns whatever their names."""
-    grouped = _grouped(docs, keep, None, docs.columns, FAN_IN)
-    return grouped.filter(_stays()).select("_carry.*")
+    """The rows of `docs` that stay, all columns whatever their names. Only digests and the
+    names of rows are shuffled, and the rows that may have to go."""
+    rows = located(docs)
+    grouped = _grouped(rows, F.col(ROW), keep, None, FAN_IN)
+    return without_rows(rows, grouped.filter(~_stays()).select(F.col("_best.row").alias(ROW)))
 
 
 def _stays() -> Column:
     return F.col("_best.row") == F.col("_kept.row")
 
 
-def _grouped(
-    docs: DataFrame, keep: str, normalise: Column | None, carry: Sequence[str], fan_in: int
-) -> DataFrame:
+def _grouped(docs: DataFrame, row: Column, keep: str, normalise: Column | None, fan_in: int) -> DataFrame:
     if keep not in ("smallest", "largest"):
         raise ValueError(keep)
     text = F.coalesce(F.col("text") if normalise is None else normalise, F.lit(""))
     known = F.col("doc_id").isNotNull()
     first = ~known if keep == "smallest" else known
-    row = F.monotonically_increasing_id()
     rows = store(
         docs.select(
             F.col("doc_id").alias("_id"),
@@ -79,7 +77,6 @@ def _grouped(
             F.octet_length(text).alias("_bytes"),
             F.spark_partition_id().alias("_run"),
             F.struct(first.alias("a"), F.col("doc_id").alias("id"), row.alias("row")).alias("_best"),
-            *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_carry")] if carry else []),
         ),
         "digests",
     )

@@ -9,6 +9,11 @@ label order, those of the longest common prefix, and with the region's center, t
 its most crowded branches lead to. Candidates are confirmed on the full sets, and linked
 nodes form components.
 
+A crowded region may still hold links between components. Where it has several, its nodes
+are compared exactly: two sets of the linking similarity share a shingle among their rarest
+few, so only nodes that do and are of different components are confirmed. A region that
+is one component, as that of thousands of copies, needs none of it.
+
 Two sets of the linking similarity share `BASE` values in at least one of the trees with a
 probability of 1 - 3e-7.
 """
@@ -22,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trilayer.llm.common import maybe_in, slices, store, table, without
-from trilayer.llm.words import ascii_words, hash_words, mix, word_hashes
+from trilayer.llm.common import ROW, located, maybe_in, slices, store, table, without_rows
+from trilayer.llm.words import hash_words, mix, word_hashes, word_lists
 
 WORDS = 5
 PERCENT = 85
@@ -37,6 +42,7 @@ CROWDED, NEIGHBOURS = 32, 2
 LEAST_AGREEING = 0.70
 VALUES = TREES * BASE
 NO_ID = -(2**63)
+_ROW_KIND = "struct<file:bigint,index:bigint>"
 _SEEDS = np.random.default_rng(20).integers(0, 2**32, (2, VALUES), dtype=np.uint64).astype(np.uint32)
 _SEEDS[0] |= np.uint32(1)
 
@@ -47,7 +53,7 @@ def shingles(text: str | None, memory, words: int = WORDS) -> np.ndarray:
     Words stand between ASCII white space, A-Z lower-cased. Fewer words than a shingle
     has are one shingle; a text without words has none.
     """
-    h = hash_words(ascii_words(text), memory)
+    h = np.concatenate([np.zeros(0, np.uint64), *(hash_words(some, memory) for some in word_lists(text))])
     size = min(words, len(h))
     if not size:
         return h
@@ -75,7 +81,7 @@ def minhashes(s: np.ndarray) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set), the MinHash values and their low bytes."""
+    """doc_id, row, n_shingles, node (hash of the set), the MinHash values and their low bytes."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = word_hashes()
@@ -86,15 +92,17 @@ def _sketch(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(map(len, sets), pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array([None if v is None else v.tobytes() for v in values], pa.binary()),
                     pa.array([None if v is None else v.astype(np.uint8).tobytes() for v in values], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "node", "minhash", "brief"],
+                ["doc_id", ROW, "n_shingles", "node", "minhash", "brief"],
             )
 
-    return docs.mapInArrow(sketch, "doc_id long, n_shingles long, node long, minhash binary, brief binary")
+    kinds = f"doc_id long, {ROW} {_ROW_KIND}, n_shingles long, node long, minhash binary, brief binary"
+    return docs.select("doc_id", "text", ROW).mapInArrow(sketch, kinds)
 
 
 def _labels(nodes: DataFrame) -> DataFrame:
@@ -129,8 +137,8 @@ def _similar_size(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes, a < b."""
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b) of nodes, a < b, and the rows of crowded regions."""
     base = f"k{BASE}"
     labels = _labels(nodes)
     sizes = store(labels.groupBy(base).agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "regions")
@@ -184,7 +192,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     pairs = parts[0]
     for part in parts[1:]:
         pairs = pairs.union(part)
-    return pairs.distinct()
+    return pairs.distinct(), crowded.select(F.col(base).alias("region"), "node")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -257,17 +265,124 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(roots)
 
 
-def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+#: Counters of the sketch that says how rare a shingle is; it orders shingles, no more.
+RARITY = 1 << 20
 
-    Documents of Jaccard similarity of at least `PERCENT` hundredths are linked.
-    component_id is the smallest doc_id reachable by links. Null and empty texts have no
-    shingles and no links. A null doc_id has no component of its own: its component_id
-    is that of its copies if any has an id, else null, and it is kept only in the latter
-    case. Repeated rows are documents with one set. Other columns are not read.
+
+def least_shared(a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray | int:
+    """Shingles that sets of these sizes share at least if they are linked."""
+    return -(-PERCENT * (a + b) // (100 + PERCENT))
+
+
+def _unsettled(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, root of the nodes in crowded regions that hold several components."""
+    rooted = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = store(rooted, "rooted-regions")
+    several = rooted.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return rooted.join(several, "region").select("node", "root").distinct()
+
+
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How many sets hold the shingles of each counter; of fixed size."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(RARITY, np.int64)
+        for batch in batches:
+            held += np.bincount(batch.column(0).flatten().to_numpy() & (RARITY - 1), minlength=RARITY)
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["slot", "n"])
+
+    counted = sets.select("shingles").mapInArrow(count, "slot long, n long")
+    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rarity = np.zeros(RARITY, np.int64)
+    rarity[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
+    return rarity
+
+
+def _rarest(sets: DataFrame) -> DataFrame:
+    """For each set (node, root, shingles) its rarest shingles, with their place in that
+    order: token, node, root, n (size), place, and whether the smaller of two linked sets
+    could share it first (`first`)."""
+    rarity = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
+    kinds = "token long, node long, root long, n long, place long, first boolean"
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            parts = []
+            for node, root, shingles in zip(*(batch.column(i) for i in range(3))):
+                tokens = shingles.values.to_numpy()
+                n = len(tokens)
+                # The longest prefix is that beside the smallest set that can be linked.
+                most = n - least_shared(n, -(-PERCENT * n // 100)) + 1
+                order = np.lexsort((tokens, rarity.value[tokens & (RARITY - 1)]))[:most]
+                place = np.arange(len(order))
+                parts.append((tokens[order], node.as_py(), root.as_py(), n, place, place <= n - least_shared(n, n)))
+            columns = [np.concatenate([np.broadcast_to(p[i], len(p[0])) for p in parts]) for i in range(6)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), [k.split()[0] for k in kinds.split(", ")])
+
+    return sets.select("node", "root", "shingles").mapInArrow(rarest, kinds)
+
+
+def _across(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that may be linked: all that are, and few more.
+
+    Of two linked sets the smaller one's first shared shingle, rarest first, is among its
+    `first` ones and among the larger one's rarest. For each shingle the component with the
+    most sets meets the others only, so a shingle of one large component costs no pairs.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = store(_sketch(texts, words).withColumn("empty", F.col("n_shingles") == 0), "sketches")
+    tokens = store(_rarest(sets), "rare-shingles")
+    per_root = tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("held"))
+    main = per_root.groupBy("token").agg(F.max(F.struct("held", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+    main = main.filter("roots > 1").select("token", F.col("main.root").alias("main"))
+    shared = store(tokens.join(main, "token").withColumn("is_main", F.col("root") == F.col("main")).drop("main"), "shared-shingles")
+    small = shared.filter("first").select(*[F.col(c).alias(f"{c}1") for c in ("token", "node", "root", "n", "place", "is_main")])
+    large = shared.drop("first")
+    least = F.ceil((F.col("n") + F.col("n1")) * PERCENT / F.lit(100 + PERCENT))
+    fits = (
+        (F.col("token") == F.col("token1"))
+        & (F.col("root") != F.col("root1"))
+        & (F.struct("n1", "node1") < F.struct("n", "node"))
+        & (F.col("place") <= F.col("n") - least)
+        & (F.col("place1") <= F.col("n1") - least)
+    )
+    pairs = small.filter("not is_main1").join(large, fits).unionByName(
+        small.filter("is_main1").join(large.filter("not is_main"), fits)
+    )
+    return pairs.select(F.least("node", "node1").alias("a"), F.greatest("node", "node1").alias("b")).distinct()
+
+
+def _rooted(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """node, root of all nodes that a link ties to others."""
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        pairs = store(_agreeing(pairs, nodes), "agreeing-pairs")
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        return confirmed(pairs, store(_sets(texts, firsts(ends), words), "sets"))
+
+    def firsts(some: DataFrame) -> DataFrame:
+        return nodes.join(some, "node").select("node", F.col("first_doc").alias("doc_id"))
+
+    pairs, crowded = candidates(nodes)
+    roots = store(components(checked(store(pairs, "pairs"))), "roots")
+    unsettled = store(_unsettled(crowded, roots), "unsettled")
+    if not unsettled.limit(1).count():
+        return roots
+    sets = store(_sets(texts, firsts(unsettled.select("node")), words).join(unsettled, "node"), "unsettled-sets")
+    more = checked(store(_across(sets), "pairs-across"))
+    # Links between components: nodes stand for their roots.
+    of = unsettled.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    to = unsettled.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    between = more.join(of, "a").join(to, "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+    further = store(components(between), "further-roots").select(F.col("node").alias("root"), F.col("root").alias("last"))
+    every = roots.union(further.join(roots, "root", "left_anti").select("root", "root"))
+    return every.join(further, "root", "left").select("node", F.coalesce("last", "root").alias("root"))
+
+
+def _grouped(docs: DataFrame, words: int) -> DataFrame:
+    """The rows of `docs` (doc_id, text and a row) with n_shingles, root (null without
+    shingles) and the component's smallest doc_id."""
+    texts = docs.select("doc_id", "text")
+    sketched = store(_sketch(docs, words).withColumn("empty", F.col("n_shingles") == 0), "sketches")
     nodes = store(
         sketched.filter(~F.col("empty"))
         .groupBy("node")
@@ -279,21 +394,27 @@ def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
         ),
         "nodes",
     )
-    pairs = store(candidates(nodes), "pairs")
-    pairs = store(_agreeing(pairs, nodes), "agreeing-pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = nodes.join(ends, "node").select("node", F.col("first_doc").alias("doc_id"))
-    links = confirmed(pairs, store(_sets(texts, chosen, words), "sets"))
-    roots = store(components(links), "roots")
-    rooted = nodes.join(roots, "node", "left").select(
-        "node", "first_doc", F.coalesce("root", "node").alias("root")
-    )
+    roots = store(_rooted(nodes, texts, words), "all-roots")
+    rooted = nodes.join(roots, "node", "left").select("node", "first_doc", F.coalesce("root", "node").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("first_doc").alias("component"))
-    named = rooted.join(firsts, "root").select("node", "component")
+    named = rooted.join(firsts, "root").select("node", "root", "component")
+    columns = ["doc_id", ROW, "n_shingles", "root", "component"]
     joined = sketched.filter(~F.col("empty")).join(named, "node")
-    alone = sketched.filter("empty").withColumn("component", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component"]
-    return joined.select(*columns).union(alone.select(*columns)).select(
+    alone = sketched.filter("empty").withColumn("component", F.col("doc_id")).withColumn("root", F.lit(None).cast("long"))
+    return joined.select(*columns).union(alone.select(*columns))
+
+
+def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents of Jaccard similarity of at least `PERCENT` hundredths are linked.
+    component_id is the smallest doc_id reachable by links. Null and empty texts have no
+    shingles and no links. A null doc_id has no component of its own: its component_id
+    is that of its copies if any has an id, else null, and it is kept only in the latter
+    case. Repeated rows are documents with one set. Other columns are not read.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(None).cast(_ROW_KIND).alias(ROW))
+    return _grouped(texts, words).select(
         "doc_id",
         "n_shingles",
         F.col("component").alias("component_id"),
@@ -302,9 +423,15 @@ def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The rows of `docs` whose document is the first of its component, all columns."""
-    gone = near_groups(docs, words).filter(~F.col("kept")).select("doc_id")
-    return without(docs, "doc_id", store(gone.distinct(), "near-copies"))
+    """One row of `docs` for each component, all columns: of those with its smallest doc_id
+    (a null one only where there is no other) the first as stored. Rows without shingles stay."""
+    rows = located(docs)
+    texts = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", ROW)
+    grouped = store(_grouped(texts, words).filter("root is not null"), "near-groups")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW)
+    first = grouped.groupBy("root").agg(F.min(rank).alias("stays"))
+    gone = grouped.join(first, "root").filter(F.col(ROW) != F.col(f"stays.{ROW}"))
+    return without_rows(rows, gone.select(ROW))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
