@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilayer.functions.numbers import safe_double, safe_int
+from trilayer.functions.numbers import double_of, int_of, normalize_number, safe_int
 
 
 class MissingColumnsError(ValueError):
@@ -53,18 +53,21 @@ def apply_types(
     """
     have = set(df.columns)
     present = {name: kind for name, kind in types.items() if name in have}
+    if not present and not unparsed:
+        return df
+    # Normalized first, in a projection of their own: the typing names each text several
+    # times, and written out as often it would pass the size the JVM compiles.
+    texts = {name: f"_text_{name}" for name in present}
+    df = df.withColumns({text: normalize_number(F.col(name)) for name, text in texts.items()})
     typed = {
-        name: safe_double(F.col(name)) if kind == "double" else safe_int(F.col(name), kind)
+        name: double_of(F.col(texts[name])) if kind == "double" else int_of(F.col(texts[name]), kind)
         for name, kind in present.items()
     }
     if unparsed:
         typed[unparsed] = flagged_names(
-            [
-                (name, (F.trim(F.col(name).cast("string")) != "") & typed[name].isNull())
-                for name in present
-            ]
+            [(name, (F.trim(F.col(name).cast("string")) != "") & typed[name].isNull()) for name in present]
         )
-    return df.withColumns(typed) if typed else df
+    return df.withColumns(typed).drop(*texts.values())
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
