@@ -131,3 +131,14 @@ def test_distribution_and_zero_share(spark):
 def test_aggregates_combine_before_the_shuffle(facts):
     plan = plan_of(marts.kpi_mart(facts, KPI_DIMS, "casualties"))
     assert "partial_sum" in plan and plan.count("Exchange") == 1
+
+
+def test_percentiles_by_rank_sort_only_the_brackets(spark):
+    """A group with many more rows than the sketch's accuracy, half of them one value, and NaN."""
+    points = {"p0": 0.0, "p1": 0.01, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p100": 1.0}
+    df = spark.range(300_000).selectExpr(
+        "'g' as yr", "if(id % 2 = 0, 50000.0D, if(id % 1001 = 3, double('NaN'), cast(id * 7919 % 100003 as double) / 3)) as v"
+    )
+    values = sorted(r.v for r in df.filter("not isnan(v)").collect())
+    (got,) = distribution.percentiles_by_rank(df, ["yr"], "v", points).collect()
+    assert tuple(got)[1:] == pytest.approx([by_hand(values, p) for p in points.values()], rel=1e-12)

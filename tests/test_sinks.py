@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from trilayer import publish
 from trilayer.sinks import (
     SplitTotals,
     replace_partition,
@@ -16,6 +17,7 @@ from trilayer.sinks import (
     write_run_metadata,
     write_table,
 )
+from trilayer.sinks import tables
 from trilayer.sources import read_delimited, read_partitioned, read_side
 
 
@@ -145,3 +147,95 @@ def test_scratch_is_new_for_each_use(spark):
     assert one != two
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert root is None or one.startswith(root.rstrip("/") + "/")
+
+
+class Killed(Exception):
+    pass
+
+
+def killed_after(monkeypatch, moves: int) -> None:
+    """Let the job die when it has moved so many folders."""
+    real, done = publish._move, []
+
+    def move(*args):
+        if len(done) == moves:
+            raise Killed
+        done.append(args)
+        real(*args)
+
+    monkeypatch.setattr(publish, "_move", move)
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path)
+    with pytest.raises(Exception, match="broken"):
+        write_table(spark.range(9).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), path)
+    assert read_partitioned(spark, path).count() == 5
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_a_job_killed_while_publishing_leaves_the_new_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path)
+    killed_after(monkeypatch, 0)
+    with pytest.raises(Killed):
+        write_table(spark.range(9), path)
+    monkeypatch.undo()
+    assert read_partitioned(spark, path).count() == 9
+    assert os.listdir(tmp_path) == ["t"]
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_partitions_are_replaced_all_or_none(spark, tmp_path, monkeypatch, moves):
+    path = str(tmp_path / "t")
+    old = spark.range(30).selectExpr("id", "cast(id % 3 as int) as yr")
+    write_table(old, path, "yr")
+    killed_after(monkeypatch, moves)
+    newer = old.filter("yr < 2").withColumn("id", F.col("id") + 100)
+    if moves < 2:
+        with pytest.raises(Killed):
+            replace_partition(newer, path, "yr")
+    else:
+        replace_partition(newer, path, "yr")
+    monkeypatch.undo()
+    assert rows(read_partitioned(spark, path), "id", "yr") == rows(newer.union(old.filter("yr = 2")), "id", "yr")
+
+
+def test_one_named_partition_is_settled_too(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_table(spark.range(6).selectExpr("id", "cast(id % 2 as int) as yr"), path, "yr")
+    killed_after(monkeypatch, 0)
+    with pytest.raises(Killed):
+        replace_partition(spark.createDataFrame([(77, 1)], "id long, yr int"), path, "yr", value=1)
+    monkeypatch.undo()
+    assert rows(read_partitioned(spark, path), "id", "yr") == [(0, 0), (2, 0), (4, 0), (77, 1)]
+
+
+def test_the_policy_is_whole_or_not_there(spark, tmp_path, monkeypatch):
+    """Killed between the write of one side and that of both, and in the midst of the moves."""
+    path = str(tmp_path / "t")
+    bad = spark.range(20).selectExpr("id", "cast(id % 2 as int) as yr", "false as dq_valid")
+    split_write(spark.range(3).selectExpr("id", "1 as yr", "true as dq_valid"), path)
+    before, real = rows(read_partitioned(spark, path)), tables.write_table
+
+    def dies(df, *args, **kwargs):
+        if "both" in args[0]:
+            raise Killed
+        real(df, *args, **kwargs)
+
+    monkeypatch.setattr(tables, "write_table", dies)
+    with pytest.raises(Killed):
+        split_write(bad, path)
+    monkeypatch.undo()
+    assert rows(read_partitioned(spark, path)) == before
+    for moves in range(4):
+        killed_after(monkeypatch, moves)
+        try:
+            split_write(bad, path)
+        except Killed:
+            pass
+        monkeypatch.undo()
+        got = read_partitioned(spark, path).groupBy("side").count().collect()
+        assert {r.side: r["count"] for r in got} in ({"valid": 20, "quarantine": 20}, {"valid": 3})
+    assert {r.side for r in got} == {"valid", "quarantine"}

@@ -15,6 +15,8 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 HEAVY_SHARE = 1 / 1000
 #: Fewer rows of a key are never worth dealing out.
 HEAVY_ROWS = 1000
+#: Items a sketch holds: the error of a count, at most 3.5 rows in as many, is far below the share.
+TRACKED = 16_384
 _SALT, _SALTS, _HEAVY = "_salt", "_salts", "_heavy"
 
 
@@ -31,15 +33,20 @@ def fits_broadcast(dim: DataFrame, max_rows: int | None = None, max_bytes: int |
 
 
 def heavy_keys(facts: DataFrame, key: str) -> DataFrame | None:
-    """The keys, null included, that hold a large share of the facts, each with its number of salts.
+    """Hashes of the keys, that of null included, that hold a large share of the facts, each
+    with its number of salts; none is None.
 
-    Fewer than 1 / `HEAVY_SHARE` rows whatever the facts hold; none is None.
+    One pass over the key column: each task keeps a frequent-items sketch of fixed size, and
+    sketches are merged. A count can be off by a thousandth of a heavy one's share, which
+    moves the number of salts and no result.
     """
-    unit = max(HEAVY_ROWS, facts.count() * HEAVY_SHARE)
-    counts = facts.groupBy(F.col(f"`{key}`").alias(_HEAVY)).agg(F.count(F.lit(1)).alias("n"))
-    heavy = counts.filter(F.col("n") > unit).select(_HEAVY, F.ceil(F.col("n") / unit).cast("int").alias(_SALTS))
-    found = heavy.collect()
-    return facts.sparkSession.createDataFrame(found, heavy.schema) if found else None
+    name = F.col(f"`{key}`")
+    found = facts.select(F.xxhash64(F.struct(name)).alias(_HEAVY)).agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k({_HEAVY}, {TRACKED // 16}, {TRACKED})").alias("top")
+    ).first()
+    unit = max(HEAVY_ROWS, found["rows"] * HEAVY_SHARE)
+    heavy = [(r["item"], -int(-r["count"] // unit)) for r in found["top"] or [] if r["count"] > unit]
+    return facts.sparkSession.createDataFrame(heavy, f"{_HEAVY} long, {_SALTS} int") if heavy else None
 
 
 def join_dimension(
@@ -54,8 +61,8 @@ def join_dimension(
 ) -> DataFrame:
     """Join a dimension with one row per key: broadcast if it measures small, else shuffled.
 
-    Beyond the bound a key, or null, may hold most of the facts. Such keys are counted and
-    dealt out over as many salts as their rows need; only their rows of the dimension are
+    Beyond the bound a key, or null, may hold most of the facts. Such keys are found by a
+    sketch and dealt out over as many salts as their rows need; only their rows of the dimension are
     copied, all others are shuffled once. The salt is a hash of the `spread_by` columns (all
     plain columns by default; name a row id to read no others), so a recomputed task repeats
     it. Rows that agree in all of them, copies of one row, are left to adaptive skew join.
@@ -73,7 +80,7 @@ def join_dimension(
         f.name for f in facts.schema.fields if isinstance(f.dataType, T.AtomicType)
     ]
     spread = F.xxhash64(*[F.col(f"`{n}`") for n in names])
-    is_heavy = F.col(f"`{key}`").eqNullSafe(F.col(_HEAVY))
+    is_heavy = F.xxhash64(F.struct(F.col(f"`{key}`"))) == F.col(_HEAVY)
     salts = F.coalesce(_SALTS, F.lit(1))
     dealt = facts.join(F.broadcast(heavy), is_heavy, "left")
     dealt = dealt.withColumn(_SALT, F.pmod(spread, salts).cast("int")).drop(_HEAVY, _SALTS)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trilayer.operators.quality import VALID
+from trilayer.publish import PARTS, promote, replacing
 from trilayer.sources.tables import QUARANTINE_SIDE, SIDE, VALID_SIDE
 
 log = logging.getLogger(__name__)
@@ -18,14 +19,14 @@ log = logging.getLogger(__name__)
 
 def write_landing(df: DataFrame, path: str, sep: str = ";") -> None:
     """Raw text with a header, white space kept as it is."""
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
+    writer = (
+        df.write.option("header", True)
         .option("sep", sep)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    with replacing(df.sparkSession, path) as staged:
+        writer.csv(staged)
 
 
 def write_table(
@@ -36,7 +37,8 @@ def write_table(
     max_records_per_file: int = 0,
     mode: str = "overwrite",
 ) -> None:
-    """Parquet, partitioned by the given columns that exist.
+    """Parquet, partitioned by the given columns that exist. The old table stays until the
+    new one is whole; other modes than "overwrite" write in place.
 
     `cluster` shuffles rows by partition value so that a small table gets one file
     per value. It is a rebalance, not a hash repartition: a value holding most of
@@ -48,10 +50,14 @@ def write_table(
     keys = [c for c in asked if c in df.columns]
     if cluster and keys:
         df = df.hint("rebalance", *keys)
-    writer = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    writer = df.write.option("maxRecordsPerFile", max_records_per_file)
     if keys:
         writer = writer.partitionBy(*keys)
-    writer.parquet(path)
+    if mode != "overwrite":
+        writer.mode(mode).parquet(path)
+        return
+    with replacing(df.sparkSession, path) as staged:
+        writer.parquet(staged)
 
 
 def replace_partition(
@@ -72,16 +78,13 @@ def replace_partition(
             raise ValueError(f"rows of other partitions than {partition_by}={value}")
         part = df.drop(partition_by)
         part = part.hint("rebalance") if cluster else part
-        part.write.mode("overwrite").parquet(f"{path}/{partition_by}={value}")
+        with replacing(df.sparkSession, f"{path}/{partition_by}={value}") as staged:
+            part.write.parquet(staged)
         return
     if cluster:
         df = df.hint("rebalance", partition_by)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    with replacing(df.sparkSession, path, PARTS) as staged:
+        df.write.partitionBy(partition_by).parquet(staged)
 
 
 @dataclass(frozen=True)
@@ -106,24 +109,29 @@ def split_write(
     files, whose footers hold the row counts, so they are exact even if tasks of
     the write were retried.
 
-    If no row is valid and `on_zero_valid` is "both", all rows go to both sides.
+    If no row is valid and `on_zero_valid` is "both", all rows go to both sides. The table
+    takes its place when all of that is written; until then the old one stays.
     """
     if on_zero_valid not in ("both", "quarantine"):
         raise ValueError(f"unknown policy: {on_zero_valid}")
+    spark = df.sparkSession
     side = F.when(F.col(flag), F.lit(VALID_SIDE)).otherwise(F.lit(QUARANTINE_SIDE))
     sided = df.withColumn(SIDE, side).drop(flag)
-    write_table(sided, path, [SIDE, partition_by], cluster)
-
-    written = df.sparkSession.read.schema(sided.schema).parquet(path)
-    counted = written.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col(SIDE) == VALID_SIDE).alias("good")
-    ).first()
-    total, good = counted["total"], counted["good"]
-    if total and not good and on_zero_valid == "both":
-        log.warning("no valid rows: writing all %d rows to both sides", total)
-        write_table(
-            written.withColumn(SIDE, F.lit(VALID_SIDE)), path, [SIDE, partition_by], mode="append"
-        )
+    with replacing(spark, path) as staged:
+        first = f"{staged}/first"
+        write_table(sided, first, [SIDE, partition_by], cluster, mode="errorifexists")
+        written = spark.read.schema(sided.schema).parquet(first)
+        counted = written.agg(
+            F.count(F.lit(1)).alias("total"), F.count_if(F.col(SIDE) == VALID_SIDE).alias("good")
+        ).first()
+        total, good = counted["total"], counted["good"]
+        kept = first
+        if total and not good and on_zero_valid == "both":
+            log.warning("no valid rows: writing all %d rows to both sides", total)
+            both = F.explode(F.array(F.lit(VALID_SIDE), F.lit(QUARANTINE_SIDE)))
+            kept = f"{staged}/both"
+            write_table(written.withColumn(SIDE, both), kept, [SIDE, partition_by], mode="errorifexists")
+        promote(spark, kept, staged)
     return SplitTotals(total, good, total - good)
 
 
@@ -133,6 +141,7 @@ METADATA_SCHEMA = T.StructType(
         T.StructField("growth", T.DoubleType()),
         T.StructField("n_base", T.LongType()),
         T.StructField("n_generated", T.LongType()),
+        T.StructField("n_corrupt", T.LongType()),
         T.StructField("day_codes", T.ArrayType(T.IntegerType())),
         T.StructField("target_weather", T.ArrayType(T.IntegerType())),
         T.StructField("target_light", T.ArrayType(T.IntegerType())),
@@ -146,4 +155,5 @@ METADATA_SCHEMA = T.StructType(
 def write_run_metadata(spark: SparkSession, record: Mapping[str, object], path: str) -> None:
     """One JSON record that says how a scenario was made."""
     row = tuple(record.get(field.name) for field in METADATA_SCHEMA.fields)
-    spark.createDataFrame([row], METADATA_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
+    with replacing(spark, path) as staged:
+        spark.createDataFrame([row], METADATA_SCHEMA).coalesce(1).write.json(staged)

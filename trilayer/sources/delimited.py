@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from trilayer.config import SourceSpec
 from trilayer.operators.quality import CORRUPT_RECORD
 from trilayer.operators.typing import stripped_names
+from trilayer.publish import settle
 
 log = logging.getLogger(__name__)
 
@@ -45,6 +46,7 @@ def read_delimited(
     than land in the wrong columns: give each layout its own source. Spark refuses
     queries that use the corrupt record and no other column; add one.
     """
+    settle(spark, path)
     if columns is None:
         columns = _reader(spark, sep, recursive).csv(path).columns
     fields = [T.StructField(name, T.StringType()) for name in columns]

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trilayer.publish import settle
+
 SIDE, VALID_SIDE, QUARANTINE_SIDE = "side", "valid", "quarantine"
 
 
@@ -16,6 +18,7 @@ def read_partitioned(
 
     Pass the schema for tables that may be empty: they have no file to read it from.
     """
+    settle(spark, path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
@@ -25,4 +28,5 @@ def read_side(spark: SparkSession, path: str, side: str) -> DataFrame:
 
     The side may be empty: the schema comes from the table as a whole.
     """
+    settle(spark, path)
     return spark.read.parquet(path).filter(F.col(SIDE) == side).drop(SIDE)
