@@ -38,6 +38,9 @@ MISSING = "concat_ws(',', case when yr is null then 'yr' end, case when casualti
 DOMAIN = "concat_ws(',', case when weather not between 1 and 9 then 'weather' end, case when light not in (1, 2, 3, 4, 5, 9) then 'light' end)"
 RANGE = "concat_ws(',', case when mon not between 1 and 12 then 'mon' end, case when wday not between 1 and 7 then 'wday' end, case when hr not between 0 and 23 then 'hr' end, case when casualties < 0 then 'casualties' end)"
 
+#: Lines of the broken landing that lost or gained fields.
+CORRUPT = "case when incident_id % 101 = 0 or incident_id % 103 = 0 then '_corrupt_record' else '' end"
+
 CHECKED = f"""checked as (
   select *, dq_missing = '' and dq_domain = '' and dq_range = '' as dq_valid
   from (select *, {MISSING} as dq_missing, {DOMAIN} as dq_domain, {RANGE} as dq_range, '' as dq_corrupt from typed))"""
@@ -206,6 +209,19 @@ ORACLE_SQL: dict[str, str] = {
       gains as (select *, {_uniform('uplift', 'incident_id')} < {CHANCE} as gain from (select *, coalesce(casualties, 0) as before from typed))
       select incident_id, case when gain then greatest(0, before + 1) else casualties end as casualties from gains""",
     "scenario_full": f"with {RAW}, {PARTS}, {SCENARIO} select * from scenario",
+    "lineage": f"with {RAW} select incident_id, case when yr = '{BASE_YEAR}' then 'base' else 'scenario' end as folder, 1768372200::bigint as ingest_seconds from raw",
+    "dq_corrupt": BASE + f"select incident_id, {CORRUPT} as dq_corrupt, false as passed from checked",
+    "corrupt_sides": BASE
+    + f"select case when dq_valid and {CORRUPT} = '' then 'valid' else 'quarantine' end as side, count(*) as n, count_if({CORRUPT} <> '') as n_corrupt from checked group by 1",
+    "clustered_files": BASE
+    + "select yr, count(*) as n, least(count(*), 100) as largest_file, case when count(*) % 100 > 0 then 1 else 0 end as short_files from typed group by yr",
+    "exact_whole_numbers": "select o_orderkey, 9007199254740993 + o_orderkey as marked, 9007199254740993 + o_orderkey as plain, try_cast(9223372036854775807::hugeint + 3 - o_orderkey % 7 as bigint) as near_limit, o_orderkey % 1000 + 1 as half, null::bigint as word from orders",
+    "run_metadata": BASE
+    + f"""select {fixed.SCENARIO_SEED}::bigint as seed, 0.01::double as growth, count(*) as n_base,
+      cast(round(count(*) * (1 + 0.01::double)) as bigint) as n_generated,
+      (select count(*) from checked where yr = {BASE_YEAR} and {CORRUPT} <> '') as n_corrupt,
+      '1' as day_codes, '6' as target_weather, '4,5' as target_light, '1' as target_zone
+      from checked where yr = {BASE_YEAR} and {CORRUPT} = ''""",
     "percentiles": BASE
     + "select yr, quantile_cont(casualties, 0.25) as p25, quantile_cont(casualties, 0.5) as p50, quantile_cont(casualties, 0.9) as p90, quantile_cont(casualties, 0.99) as p99 from typed group by yr",
     "percentiles_by_rank": BASE

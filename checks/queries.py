@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from checks.fixture import (
 )
 from trilayer import fixed_values as fixed
 from trilayer.config import SourceSpec
-from trilayer.functions import hash_uniform, parse_bool, safe_double, safe_ratio, zero_fill
+from trilayer.functions import hash_uniform, parse_bool, safe_double, safe_int, safe_ratio, zero_fill
 from trilayer.operators import distribution, enrich, marts, ordering, quality, scenario, typing
 from trilayer.plans.gold import enriched
 from trilayer.plans.incidents import (
@@ -33,14 +34,13 @@ from trilayer.plans.incidents import (
 )
 from trilayer.plans.pipeline import Layout, land_base, run_all
 from trilayer.plans.report import day_label, light_label, segment_text
-from trilayer.plans.scenario import build_scenario
+from trilayer.plans.scenario import build_scenario, run_scenario
 from trilayer.plans.silver import checked_rows
 from trilayer.sinks import (
     replace_partition,
     scratch_dir,
     split_write,
     write_landing,
-    write_run_metadata,
     write_table,
 )
 from trilayer.sources import read_delimited, read_partitioned, read_side, read_sources
@@ -110,9 +110,80 @@ def scenario_marker(spark: SparkSession, sf: str) -> DataFrame:
     return landed.groupBy("scenario", "yr").agg(F.count(F.lit(1)).alias("n"))
 
 
+RUN_TS = datetime(2026, 1, 14, 6, 30, tzinfo=timezone.utc)
+
+
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
-    landed = read_sources(spark, land_years(spark, sf))
-    return landed.select(ID, "source_file", "ingest_ts")
+    """The folder and kind of the file that each row came from, and the run's time."""
+    landed = read_sources(spark, land_years(spark, sf), run_ts=RUN_TS)
+    return landed.select(
+        ID,
+        F.regexp_extract("source_file", r"/([^/]+)/part-[^/]+\.csv$", 1).alias("folder"),
+        F.unix_seconds("ingest_ts").alias("ingest_seconds"),
+    )
+
+
+def land_broken(spark: SparkSession, sf: str, only_base: bool = False) -> str:
+    """Landing text of which some lines have lost their last fields and some have gained one."""
+    raw, path = incidents_with_parts(spark, sf), scratch_dir(spark, "broken")
+    if only_base:
+        raw = raw.filter(F.col("yr") == str(BASE_YEAR))
+    texts = [F.coalesce(c, F.lit("")) for c in raw.columns]
+    key = F.col(ID).cast("long")
+    line = (
+        F.when(key % 101 == 0, F.concat_ws(";", *texts[:-2]))
+        .when(key % 103 == 0, F.concat_ws(";", *texts, F.lit("more")))
+        .otherwise(F.concat_ws(";", *texts))
+    )
+    # One column whose name is the whole header, written without quotes.
+    lines = raw.select(line.alias(";".join(raw.columns)))
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "\x00").csv(path)
+    return path
+
+
+def dq_corrupt(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of the broken landing: corrupt ones are flagged, and none of them is valid."""
+    landed = checked_rows(read_delimited(spark, land_broken(spark, sf)))
+    return landed.select(ID, joined(quality.CORRUPT), (F.col(quality.VALID) & (F.size(quality.CORRUPT) > 0)).alias("passed"))
+
+
+def corrupt_sides(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines and corrupt lines by side of the stored split: together they are all lines."""
+    path = scratch_dir(spark, "corrupt-split")
+    split_write(checked_rows(read_delimited(spark, land_broken(spark, sf))), path)
+    return read_partitioned(spark, path).groupBy("side").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.size(quality.CORRUPT) > 0).alias("n_corrupt")
+    )
+
+
+ROWS_PER_FILE = 100
+
+
+def clustered_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and files of each partition value after the rebalance: a value's rows come
+    together, and fill files of a bounded number of rows."""
+    path = scratch_dir(spark, "clustered")
+    write_table(typed(spark, sf), path, "yr", cluster=True, max_records_per_file=ROWS_PER_FILE)
+    rows = read_partitioned(spark, path).withColumn("file", F.col("_metadata.file_path"))
+    per_file = rows.groupBy("yr", "file").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("yr").agg(
+        F.sum("n").alias("n"), F.max("n").alias("largest_file"), F.count_if(F.col("n") < ROWS_PER_FILE).alias("short_files")
+    )
+
+
+def exact_whole_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts around the limits of doubles and of 64 bits, and text that is no number."""
+    big = (F.lit(9007199254740993).cast("decimal(20,0)") + F.col("o_orderkey")).cast("string")
+    near = (F.lit(9223372036854775807).cast("decimal(20,0)") + 3 - F.col("o_orderkey") % 7).cast("string")
+    orders = table(spark, sf, "orders")
+    texts = {
+        "marked": F.concat(F.lit(" "), big, F.lit(",0 ")),
+        "plain": big,
+        "near_limit": near,
+        "half": F.concat((F.col("o_orderkey") % 1000).cast("string"), F.lit(".5")),
+        "word": F.concat(F.lit("x"), F.col("o_orderkey").cast("string")),
+    }
+    return orders.select("o_orderkey", *[safe_int(text, "bigint").alias(name) for name, text in texts.items()])
 
 
 def partitioned_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,10 +220,14 @@ def zero_valid_policy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_dir(spark, "metadata")
-    made = build_scenario(base_rows(spark, sf), CONFIG)
-    write_run_metadata(spark, {**made.metadata, "source": "orders", "output": "none"}, path)
-    return spark.read.json(path)
+    """The numbers in the record of a scenario drawn from a landing with corrupt lines."""
+    path = scratch_dir(spark, "scenario")
+    run_scenario(spark, land_broken(spark, sf, only_base=True), path, CONFIG)
+    record = spark.read.json(f"{path}/_run_metadata")
+    return record.select(
+        "seed", "growth", "n_base", "n_generated", "n_corrupt",
+        *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("day_codes", "target_weather", "target_light", "target_zone")],
+    )
 
 
 # --- projections --------------------------------------------------------------
@@ -411,6 +486,10 @@ QUERIES: dict[str, Query] = {
     "dq_missing": fault_column(quality.MISSING),
     "dq_domain": fault_column(quality.DOMAIN),
     "dq_range": fault_column(quality.RANGE),
+    "dq_corrupt": dq_corrupt,
+    "corrupt_sides": corrupt_sides,
+    "clustered_files": clustered_files,
+    "exact_whole_numbers": exact_whole_numbers,
     "dq_profile": dq_profile,
     "dq_totals": lambda spark, sf: quality.dq_totals(checked(spark, sf)),
     "valid_rows": lambda spark, sf: typing.valid_rows(checked(spark, sf)).select(*COLUMNS),
