@@ -30,12 +30,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def anchors(text: Column) -> Column:
-    """Array of (position in words, hash) of a text's anchors; fewer than `K` words are one anchor."""
+    """Array of (position, hash) of a text's anchors, ascending by position.
+
+    Positions count words; in a text of fewer than `K` words, such as one without blanks,
+    they count characters. Fewer than `K` characters are one anchor.
+    """
 
     def of_words(words: Column) -> Column:
-        few = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(words).alias("hash")))
-        many = let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
-        return F.when(F.size(words) >= K, many).when(F.size(words) > 0, few).otherwise(F.slice(few, 1, 0))
+        hashed = lambda units: let(F.transform(units, lambda u: F.xxhash64(u)), of_hashes)
+        few = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(text).alias("hash")))
+        letters = let(F.split(text, ""), lambda units: F.when(F.size(units) >= K, hashed(units)).otherwise(few))
+        return F.when(F.size(words) >= K, hashed(words)).when(F.size(words) > 0, letters).otherwise(F.slice(few, 1, 0))
 
     def of_hashes(h: Column) -> Column:
         inner = F.transform(

@@ -19,7 +19,9 @@ from trilayer.functions import hash_uniform
 from trilayer.llm.common import table
 
 OTHER = "(other)"
-ROUNDS, TOLERANCE = 200, 1e-9
+ROUNDS, TOLERANCE = 1000, 1e-9
+#: Shares that are still further off after all rounds contradict each other.
+WORST = 1e-4
 Targets = Mapping[str, Mapping[str, float]]
 
 #: Shares of tokens by margin; what they leave goes to all other values together.
@@ -48,8 +50,8 @@ def margin_value(column: Column, target: Mapping[str, float]) -> Column:
 def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
     """Factors of the cells of a contingency table so that its margins have the target shares.
 
-    Target shares of values without tokens are dealt to the others in proportion. Where
-    the margins contradict the empty cells, the last round's factors are returned.
+    Target shares of values without tokens are dealt to the others in proportion. Margins
+    that no weights of the cells with tokens can meet are an error.
     """
     weight = cells.astype(float) / max(cells.sum(), 1)
     start = weight.copy()
@@ -68,6 +70,9 @@ def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) ->
             weight = weight * factor.reshape([-1 if a == axis else 1 for a in axes])
         if worst < TOLERANCE:
             break
+    else:
+        if worst > WORST:
+            raise ValueError(f"the target margins contradict the cells that hold tokens: off by {worst:.2g}")
     return np.divide(weight, start, out=np.zeros_like(weight), where=start > 0)
 
 

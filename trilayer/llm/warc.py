@@ -1,24 +1,26 @@
 """WARC archives of pages, read back through an index merged from sorted runs.
 
 A page is a `response` record or, if an earlier page has the same payload, a `revisit`
-of it. Spark's text writer puts the records, byte for byte, into gzip files in the
-shared folder. Each file is then parsed by the lengths in its records, checked against
-its digests, and gives one run of index entries sorted by url key and time. The runs
-are dealt to key ranges, and each range merges its parts of all runs with a loser tree,
-so the ranges together hold every url's captures in global order.
+of it. Each record is a gzip member of its own, so it can be read by its place in the
+file alone. The files are written by Spark to the shared folder, then parsed member by
+member, checked against their digests, and give one run of index entries each, sorted by
+url key and time. The runs are dealt to key ranges of a bounded number of entries, and each
+range merges its parts of all runs with a loser tree, so the ranges together hold every
+url's captures in global order.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
+from itertools import batched
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm.common import store, table
+from trilayer.llm.common import slices, store, table
 from trilayer.sinks.scratch import scratch_dir
 
 #: Payloads of fewer bytes are always stored whole.
@@ -26,9 +28,18 @@ LEAST_REVISIT_BYTES = 100
 #: Payload bytes a file holds on average, before compression.
 FILE_BYTES = 16 << 20
 RECORD_END = "\r\n\r\n"
+#: Bytes of a record in one gzip member. The last byte of a member, the highest of its size, is
+#: then 0: the text writer, whose lines must end in something, is given the members without it.
+MEMBER_BYTES = 8 << 20
+#: Bytes of a file that are looked at a time for the end of a member.
+_WINDOW = 1 << 16
+#: Index entries that a range holds, about.
+RANGE_ENTRIES = 200_000
+#: Seconds up to the year 10000: dates have four digits for the year.
+_DATES = 253_402_300_800
 ENTRY = (
     "url_key string, captured_at string, page_id long, payload_bytes long, payload_digest string, "
-    "record_type string, refers_to long, file string, offset long, run long"
+    "record_type string, refers_to long, file string, offset long, length long, run long"
 )
 _FIELDS = [f.split()[0] for f in ENTRY.split(", ")]
 
@@ -61,7 +72,8 @@ def classified(pages: DataFrame, captured_at: Column) -> DataFrame:
 
 
 def record_text(block: Column, http: Column) -> Column:
-    """A whole WARC record but for its last line feed, which the text writer adds."""
+    """A whole WARC record."""
+
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
 
@@ -83,7 +95,7 @@ def record_text(block: Column, http: Column) -> Column:
         F.when(F.col("record_type") == "revisit", revisit).otherwise(""),
         F.lit("Content-Type: application/http;msgtype=response\r\n"),
         line("Content-Length", (F.octet_length(http) + F.octet_length(block)).cast("string")),
-        F.lit("\r\n"), http, block, F.lit(RECORD_END[:-1]),
+        F.lit("\r\n"), http, block, F.lit(RECORD_END),
     )
 
 
@@ -94,22 +106,65 @@ def write_archives(records: DataFrame, path: str, rows_per_file: int) -> None:
         F.lit("\r\n\r\n"),
     )
     block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise("")
-    lines = records.select(record_text(block, http).alias("value"))
-    lines.write.options(lineSep="\n", compression="gzip", maxRecordsPerFile=rows_per_file).text(path)
-
-
-def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], int, bytes]]:
-    """Headers, offset and block of each record; lengths, not separators, tell where it ends."""
-    at = 0
+    lines = records.select(record_text(block, http).alias("value")).mapInArrow(_members, "value binary")
+    # Bytes as they are: a cast to text checks nothing, and the writer adds the byte left out.
+    lines = lines.select(F.col("value").cast("string").alias("value"))
+    lines.write.options(lineSep="\x00", maxRecordsPerFile=rows_per_file).text(path)
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 64):
+        packed = []
+        for record in batch.column(0):
+            raw = record.as_py().encode("utf-8", "replace")
+            whole = b"".join(
+                zlib.compress(raw[i : i + MEMBER_BYTES], wbits=31) for i in range(0, len(raw), MEMBER_BYTES)
+            )
+            packed.append(whole[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["value"])
+
+
+def members_of(data: bytes, at: int = 0) -> Iterator[tuple[int, int, bytes]]:
+    """Start, end and content of the gzip members of a file, from a place on."""
+    view = memoryview(data)
     while at < len(data):
-        head = data.index(b"\r\n\r\n", at)
-        lines = data[at:head].decode("utf-8", "replace").split("\r\n")
-        if lines[0] != "WARC/1.1":
-            raise ValueError(f"no record at byte {at}")
+        start, parts, reader = at, [], zlib.decompressobj(wbits=31)
+        while not reader.eof:
+            some = view[at : at + _WINDOW]
+            if not some:
+                raise ValueError(f"the member at byte {start} is cut off")
+            parts.append(reader.decompress(some))
+            at += len(some) - len(reader.unused_data)
+        yield start, at, b"".join(parts)
+
+
+def parse_archive(data: bytes, at: int = 0) -> Iterator[tuple[dict[str, str], int, int, bytes]]:
+    """Headers, place, length in the file and block of each record; the length in its head,
+    not a separator, tells where a record ends."""
+    held, start = b"", at
+    for first, end, part in members_of(data, at):
+        if not held:
+            start = first
+        held += part
+        head = held.find(b"\r\n\r\n")
+        if not held.startswith(b"WARC/1.1\r\n") or head < 0:
+            raise ValueError(f"no record at byte {start}")
+        lines = held[:head].decode("utf-8", "replace").split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines[1:])
-        end = head + 4 + int(headers["Content-Length"])
-        yield headers, at, data[head + 4 : end]
-        at = end + len(RECORD_END)
+        size = head + 4 + int(headers["Content-Length"])
+        if len(held) >= size + len(RECORD_END):
+            yield headers, start, end - start, held[head + 4 : size]
+            held = b""
+    if held:
+        raise ValueError(f"the record at byte {start} is cut off")
+
+
+def read_record(spark: SparkSession, path: str, file: str, offset: int, length: int) -> tuple[dict[str, str], bytes]:
+    """Headers and payload of one record by its place, as the index gives it."""
+    content = F.substring("content", F.lit(offset + 1), F.lit(length))
+    found = spark.read.format("binaryFile").load(f"{path}/{file}").select(content.alias("member")).first()
+    headers, _, _, block = next(parse_archive(bytes(found["member"])))
+    return headers, block.partition(b"\r\n\r\n")[2]
 
 
 def url_key(url: str) -> str:
@@ -119,7 +174,7 @@ def url_key(url: str) -> str:
     return ",".join(reversed(rest[:cut].lower().split("."))) + ")" + rest[cut:].split("#")[0]
 
 
-def index_entry(headers: dict[str, str], offset: int, block: bytes) -> tuple:
+def index_entry(headers: dict[str, str], offset: int, size: int, block: bytes) -> tuple:
     http, _, payload = block.partition(b"\r\n\r\n")
     length = int(http.rsplit(b"Content-Length: ", 1)[1])
     digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
@@ -133,12 +188,12 @@ def index_entry(headers: dict[str, str], offset: int, block: bytes) -> tuple:
 
     return (
         url_key(headers["WARC-Target-URI"]), headers["WARC-Date"], page("WARC-Record-ID"),
-        length, digest, kind, page("WARC-Refers-To"), offset,
+        length, digest, kind, page("WARC-Refers-To"), offset, size,
     )
 
 
 def _order(entry: tuple) -> tuple:
-    return entry[0], entry[1], entry[2] is not None, entry[2] or 0, entry[-1]
+    return entry[0], entry[1], entry[2] is not None, entry[2] or 0, entry[-2]
 
 
 def archive_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -149,12 +204,12 @@ def archive_runs(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(batch.column(0), batch.column(1)):
                 file = name.as_py().rsplit("/", 1)[-1]
                 run = int.from_bytes(hashlib.sha256(file.encode()).digest()[:7], "big")
-                entries = sorted((index_entry(*r) for r in parse_archive(gzip.decompress(content.as_py()))), key=_order)
+                entries = sorted((index_entry(*r) for r in parse_archive(content.as_py())), key=_order)
                 if entries:
-                    *rows, offsets = zip(*entries)
-                    yield _batch([*rows, [file] * len(offsets), offsets, [run] * len(offsets)])
+                    *rows, offsets, sizes = zip(*entries)
+                    yield _batch([*rows, [file] * len(offsets), offsets, sizes, [run] * len(offsets)])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("path", "content").mapInArrow(runs, ENTRY)
 
 
@@ -212,15 +267,15 @@ def merge_runs(entries: DataFrame) -> DataFrame:
         runs: dict[int, list[tuple]] = {}
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                runs.setdefault(row[9], []).append(row)
-        for run in runs.values():
-            run.sort(key=_order_of_row)  # as they were, unless a fetch came in late
-        rows = list(LoserTree(runs.values()))
-        if rows:
+                runs.setdefault(row[-1], []).append(row)
+        for rows in batched(LoserTree(runs.values()), 8192):
             yield _batch(list(zip(*rows)))
 
-    # Time and page split a url however often it was captured.
-    ranged = entries.repartitionByRange("url_key", "captured_at", "page_id")
+    # Time, page and place split a url however often it was captured. Spark sorts each run's
+    # part, on disk where it must, as fetches of a shuffle come in any order.
+    order = ["url_key", "captured_at", "page_id", "file", "offset"]
+    ranges = -(-max(entries.count(), 1) // RANGE_ENTRIES)
+    ranged = entries.repartitionByRange(ranges, *order).sortWithinPartitions("run", *order)
     return ranged.mapInArrow(merged, ENTRY)
 
 
@@ -230,12 +285,13 @@ def archive_pages(pages: DataFrame, captured_at: Column | None = None, path: str
     One row per page: the columns of `ENTRY`. Null html is an empty payload, a null url
     an empty target. Of equal payloads of `LEAST_REVISIT_BYTES` or more the smallest
     page_id is the response; rows that repeat that id are responses too. A null page_id
-    revisits any other. Without `captured_at` a page was captured page_id seconds after
-    the epoch. An empty table gives no rows. Other columns are not read.
+    revisits any other. Without `captured_at` a page was captured page_id seconds after the
+    epoch, counted round from the year 10000 to it, so any 64-bit id has a date. An empty
+    table gives no rows. Other columns are not read.
     """
     spark = pages.sparkSession
     path = path or scratch_dir(spark, "warc")
-    seconds = F.coalesce(F.col("page_id").cast("long"), F.lit(0))
+    seconds = F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(_DATES))
     when = captured_at if captured_at is not None else F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     size = pages.agg(F.avg(F.coalesce(F.octet_length("html"), F.lit(0)))).first()[0] or 0
     write_archives(classified(pages, when), path, max(1, int(FILE_BYTES / max(size, 1024))))

@@ -38,19 +38,16 @@ def hash_words(words: list[bytes], memory: WordMemory) -> np.ndarray:
     return np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
 
 
-def ascii_words(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, A-Z lower-cased; other letters stay as they are."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
 #: Bytes of text whose words are listed at a time.
 LISTED = 1 << 20
 _SPACE = re.compile(rb"[ \t-\r]")
 
 
-def word_lists(text: str | None) -> Iterator[list[bytes]]:
-    """`ascii_words`, in lists of a bounded number of bytes."""
-    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+def word_lists(text: str | None, lower: bool = True) -> Iterator[list[bytes]]:
+    """Words between ASCII white space, in lists of a bounded number of bytes; A-Z lower-cased
+    unless they are to stay, other letters as they are."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    raw = raw.lower() if lower else raw
     start = 0
     while start < len(raw):
         space = _SPACE.search(raw, start + LISTED) if start + LISTED < len(raw) else None
