@@ -9,6 +9,7 @@ than the targets, given by the caller, span.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 import numpy as np
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from trilayer.functions import hash_uniform
 from trilayer.llm.common import table
 
+log = logging.getLogger(__name__)
+
 OTHER = "(other)"
 ROUNDS, TOLERANCE = 1000, 1e-9
 #: Shares that are still further off after all rounds contradict each other.
@@ -47,11 +50,12 @@ def margin_value(column: Column, target: Mapping[str, float]) -> Column:
     return F.when(column.isin(*target), column).otherwise(OTHER) if target else F.lit(OTHER)
 
 
-def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
+def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS, strict: bool = False) -> np.ndarray:
     """Factors of the cells of a contingency table so that its margins have the target shares.
 
     Target shares of values without tokens are dealt to the others in proportion. Margins
-    that no weights of the cells with tokens can meet are an error.
+    that no weights of the cells with tokens can meet are an error if `strict`; else a
+    warning says how far off the last round's factors are, and those are returned.
     """
     weight = cells.astype(float) / max(cells.sum(), 1)
     start = weight.copy()
@@ -72,19 +76,24 @@ def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) ->
             break
     else:
         if worst > WORST:
-            raise ValueError(f"the target margins contradict the cells that hold tokens: off by {worst:.2g}")
+            said = f"the target margins contradict the cells that hold tokens: off by {worst:.2g}"
+            if strict:
+                raise ValueError(said)
+            log.warning(said)
     return np.divide(weight, start, out=np.zeros_like(weight), where=start > 0)
 
 
 def calibrated(
-    docs: DataFrame, targets: Targets = TARGETS, share: float | None = None, seed: int = 0
+    docs: DataFrame, targets: Targets = TARGETS, share: float | None = None, seed: int = 0, strict: bool = False
 ) -> DataFrame:
     """All columns of `docs` in the struct `doc`, with tokens, probability and kept.
 
     Rates are the raking factors, scaled so that the most wanted cell is kept whole, or
     to keep `share` of all tokens, where rates above one are cut to one. A text without
     words weighs nothing and has the rate of its cell, or 1 if its cell has no tokens.
-    Rows with the same doc_id share a draw; a null doc_id draws like any other.
+    Rows with the same doc_id share a draw; a null doc_id draws like any other. Margins that
+    the rows cannot meet, as in a small table, are met as nearly as raking can, with a warning,
+    or are an error if `strict`.
     """
     tokens = word_count(F.col("text"))
     rows = docs.select(
@@ -100,7 +109,7 @@ def calibrated(
     # No more rows than the targets have combinations.
     for r in rows.groupBy(*values).agg(F.sum("tokens").alias("tokens")).collect():
         cells[tuple(values[m].index(r[m]) for m in values)] = r["tokens"]
-    factors = rake(cells, shares)
+    factors = rake(cells, shares, strict=strict)
     rates = factors / max(factors.max(), 1e-300)
     if share is not None:
         low, high = 0.0, 1 / max(rates[rates > 0].min(initial=1.0), 1e-12)
