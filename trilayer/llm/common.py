@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 from trilayer.sinks.scratch import scratch_dir
 
 
+#: A writing task holds a row group in memory.
+ROW_GROUP_BYTES = 32 << 20
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared scratch folder and read it back: lineage ends at files
     that outlive executors, and each row is computed once."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

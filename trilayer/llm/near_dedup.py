@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trilayer.llm.common import ROW, located, maybe_in, slices, store, table, without_rows
+from trilayer.llm.common import FILTER_BITS, ROW, bit_filter, bits_at, located, maybe_in, slices, store, table, without_rows
 from trilayer.llm.words import hash_words, mix, word_hashes, word_lists
 
 WORDS = 5
@@ -85,7 +85,7 @@ def _sketch(docs: DataFrame, words: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = word_hashes()
-        for batch in slices(batches):
+        for batch in slices(batches, 256):
             sets = [shingles(t.as_py(), memory, words) for t in batch.column(1)]
             nodes = [node_of(s) for s in sets]
             values = [minhashes(s) if len(s) else None for s in sets]
@@ -105,8 +105,13 @@ def _sketch(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text", ROW).mapInArrow(sketch, kinds)
 
 
-def _labels(nodes: DataFrame) -> DataFrame:
-    """A row per node and tree: keys of its label's first values, at each depth."""
+def _labels(nodes: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """A row per node and tree: keys of its label's first values, at each depth. With
+    `regions`, their keys, mostly rows of those: the rest of the tree's rows goes in the task."""
+    known = None
+    if regions is not None:
+        places = regions.select(F.pmod(F.col(regions.columns[0]), F.lit(FILTER_BITS)).alias("at"))
+        known = nodes.sparkSession.sparkContext.broadcast(bit_filter(places))
     names = ["tree", "node", "n", *[f"k{d}" for d in (BASE, *DEPTHS)]]
 
     def labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +126,11 @@ def _labels(nodes: DataFrame) -> DataFrame:
                     if depth + 1 in (BASE, *DEPTHS):
                         columns.append(pa.array(key.view(np.int64)))
                 arrays = [pa.array(np.full(len(node), tree, np.int32)), pa.array(node), pa.array(n), *columns]
-                yield pa.RecordBatch.from_arrays(arrays, names)
+                rows = pa.RecordBatch.from_arrays(arrays, names)
+                if known is not None:
+                    at = columns[0].to_numpy() & np.int64(FILTER_BITS - 1)
+                    rows = rows.filter(pa.array(bits_at(known.value, at)))
+                yield rows
 
     kinds = "tree int, node long, n long, " + ", ".join(f"{k} long" for k in names[3:])
     return nodes.select("node", "n", "minhash").mapInArrow(labels, kinds)
@@ -140,10 +149,9 @@ def _similar_size(a: Column, b: Column) -> Column:
 def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a, b) of nodes, a < b, and the rows of crowded regions."""
     base = f"k{BASE}"
-    labels = _labels(nodes)
-    sizes = store(labels.groupBy(base).agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "regions")
-    shared = labels.filter(maybe_in(F.col(base), sizes.select(base)))
-    rows = store(shared.join(sizes, base), "region-rows")
+    sizes = store(_labels(nodes).groupBy(base).agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "regions")
+    # The filter is part of the labelling: a second Python step would be a second worker a task.
+    rows = store(_labels(nodes, sizes.select(base)).join(sizes, base), "region-rows")
 
     small = rows.filter(F.col("size") <= CROWDED)
     members = small.groupBy(base).agg(F.sort_array(F.collect_list(F.struct("node", "n"))).alias("m"))
@@ -222,7 +230,7 @@ def _sets(docs: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = word_hashes()
-        for batch in slices(batches):
+        for batch in slices(batches, 256):
             values = [shingles(t.as_py(), memory, words) for t in batch.column(0)]
             nodes = pa.array([node_of(s) for s in values], pa.int64())
             lists = pa.array([s.view(np.int64) for s in values], pa.list_(pa.int64()))
