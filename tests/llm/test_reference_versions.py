@@ -328,11 +328,10 @@ def test_inverse_and_plan():
     histogram = {int(s): int(c) for s, c in zip(range(1, 257), rng.integers(0, 900, 256)) if c}
     rows, sequences = plan_sequences(histogram, 256)
     filled = np.zeros(sequences, np.int64)
-    for size, group in rows.groupby("size"):
-        ends = [*group["rank"][1:], histogram[size]]
-        for (_, row), end in zip(group.iterrows(), ends):
-            for rank in range(row["rank"], end):
-                filled[row["sequence"] + (rank - row["rank"]) // row["each"]] += size
+    for at, (size, first, each, sequence) in enumerate(rows):
+        ends_here = at + 1 == len(rows) or rows[at + 1][0] != size
+        for rank in range(first, histogram[size] if ends_here else rows[at + 1][1]):
+            filled[sequence + (rank - first) // each] += size
     assert filled.max() <= 256 and filled.sum() == sum(s * n for s, n in histogram.items())
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,9 +97,9 @@ def maybe_in(column: Column, ids: DataFrame) -> Column:
     place = F.pmod(F.xxhash64(own), F.lit(FILTER_BITS)).alias("at")
     shared = ids.sparkSession.sparkContext.broadcast(bit_filter(ids.filter(own.isNotNull()).select(place)))
 
-    @F.pandas_udf("boolean")
-    def maybe(at: pd.Series) -> pd.Series:
-        return pd.Series(bits_at(shared.value, at.to_numpy(np.int64)))
+    @F.arrow_udf("boolean")
+    def maybe(at: pa.Array) -> pa.Array:
+        return pa.array(bits_at(shared.value, at.to_numpy(zero_copy_only=False).astype(np.int64)))
 
     return column.isNotNull() & maybe(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trilayer.llm.common import FILTER_BITS, ROW, bit_filter, bits_at, located, maybe_in, slices, store, table, without_rows
+from trilayer.llm.common import FILTER_BITS, ROW, bit_filter, bits_at, located, slices, store, table, without_rows
 from trilayer.llm.words import hash_words, mix, word_hashes, word_lists
 
 WORDS = 5
@@ -226,20 +226,26 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """Full shingle sets of the chosen nodes, each from the texts of its first document."""
+    """Full shingle sets of the chosen nodes, each from the texts of its first document.
+
+    The texts that may be wanted are found within the task, and only sets are shuffled.
+    """
+    key = F.coalesce("doc_id", F.lit(NO_ID)).alias("key")
+    ids = chosen.select(key).distinct()
+    place = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("at")
+    known = docs.sparkSession.sparkContext.broadcast(bit_filter(ids.select(place)))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = word_hashes()
         for batch in slices(batches, 256):
-            values = [shingles(t.as_py(), memory, words) for t in batch.column(0)]
+            batch = batch.filter(pa.array(bits_at(known.value, batch.column(1).to_numpy())))
+            values = [shingles(t.as_py(), memory, words) for t in batch.column(2)]
             nodes = pa.array([node_of(s) for s in values], pa.int64())
             lists = pa.array([s.view(np.int64) for s in values], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([nodes, lists], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), nodes, lists], ["key", "node", "shingles"])
 
-    key = F.coalesce("doc_id", F.lit(NO_ID))
-    ids = chosen.select(key.alias("key"))
-    texts = docs.withColumn("key", key).filter(maybe_in(F.col("key"), ids)).join(ids.distinct(), "key")
-    found = texts.select("text").mapInArrow(sets, "node long, shingles array<long>")
+    texts = docs.select(key, "text").select("key", place, "text")
+    found = texts.mapInArrow(sets, "key long, node long, shingles array<long>").join(ids, "key", "left_semi")
     return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 

@@ -19,7 +19,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -160,15 +159,15 @@ def first_fit_decreasing(sizes: np.ndarray, left: np.ndarray, capacity: int) ->
         yield counts, times
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int, gap: float = GAP) -> tuple[pd.DataFrame, int]:
-    """For each size the ranks that each pattern takes, and the number of sequences.
+def plan_sequences(histogram: dict[int, int], capacity: int, gap: float = GAP) -> tuple[np.ndarray, int]:
+    """For each size the ranks that each pattern takes, ascending, and the number of sequences.
 
     `histogram`: pieces by size in units. Rows: size, first rank, pieces per sequence,
     first sequence.
     """
     rows: list[tuple[int, int, int, int]] = []
     if not histogram:
-        return pd.DataFrame(rows, columns=["size", "rank", "each", "sequence"]), 0
+        return np.zeros((0, 4), np.int64), 0
     sizes = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[s] for s in sizes], np.int64)
     basis, amount = solve_patterns(sizes, demand.astype(float), capacity, gap)
@@ -189,7 +188,8 @@ def plan_sequences(histogram: dict[int, int], capacity: int, gap: float = GAP) -
             cut(pattern, times)
     for counts, times in list(first_fit_decreasing(sizes, left, capacity)):
         cut(counts, times)
-    return pd.DataFrame(rows, columns=["size", "rank", "each", "sequence"]), sequences
+    rows.sort()
+    return np.array(rows, np.int64), sequences
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, unit: int, keep_ids: bool = False) -> DataFrame:
@@ -247,17 +247,14 @@ def pack(
     # At most capacity / unit rows.
     histogram = {r["size"]: r["n"] for r in per_run.groupBy("size").agg(F.sum("n").alias("n")).collect()}
     rows, _ = plan_sequences(histogram, capacity // unit)
-    rows = rows.sort_values(["size", "rank"])
-    plan = spark.sparkContext.broadcast(
-        (rows["size"].to_numpy() * 2.0**40 + rows["rank"].to_numpy(), rows.to_numpy(np.int64))
-    )
+    plan = spark.sparkContext.broadcast((rows[:, 0] * 2.0**40 + rows[:, 1], rows))
 
-    @F.pandas_udf("long")
-    def sequence(size: pd.Series, rank: pd.Series) -> pd.Series:
+    @F.arrow_udf("long")
+    def sequence(size: pa.Array, rank: pa.Array) -> pa.Array:
         keys, steps = plan.value
-        at = np.searchsorted(keys, size.to_numpy() * 2.0**40 + rank.to_numpy(), side="right") - 1
-        _, first, each, base = steps[at].T
-        return pd.Series(base + (rank.to_numpy() - first) // each)
+        size, rank = (a.to_numpy(zero_copy_only=False).astype(np.int64) for a in (size, rank))
+        _, first, each, base = steps[np.searchsorted(keys, size * 2.0**40 + rank, side="right") - 1].T
+        return pa.array(base + (rank - first) // each)
 
     earlier = Window.partitionBy("size").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     before = per_run.select("run", "size", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))

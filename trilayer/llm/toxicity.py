@@ -26,7 +26,6 @@ from collections.abc import Iterator, Sequence
 from itertools import batched
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -351,16 +350,16 @@ def drop_toxic(docs: DataFrame, models: Models, threshold: float = 0.5) -> DataF
     """The rows of `docs` whose score is below `threshold`, all columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         evidence = WordEvidence(shared.value)
         for texts in batches:
             pairs = [
                 features_of(e)
                 for start in range(0, len(texts), ROWS)
-                for e in evidence.of_texts(texts.iloc[start : start + ROWS].tolist())
+                for e in evidence.of_texts(texts.slice(start, ROWS).to_pylist())
             ]
-            yield pd.Series(shared.value.score(np.array(pairs, float).reshape(-1, 2)))
+            yield pa.array(shared.value.score(np.array(pairs, float).reshape(-1, 2)), pa.float64())
 
     return docs.filter(score("text") < threshold)
 
