@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trilayer.sinks.scratch import scratch_dir
@@ -86,32 +86,6 @@ def bits_at(mask: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (mask[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
-def maybe_in(column: Column, ids: DataFrame) -> Column:
-    """True where `column` is in the one column of `ids`, and by chance elsewhere.
-
-    Keeps most other rows out of the exact join that follows. The filter has a fixed
-    size; when the ids outgrow it, it lets more rows through and the join does the work.
-    Nulls are never in.
-    """
-    own = F.col(f"`{ids.columns[0]}`")
-    place = F.pmod(F.xxhash64(own), F.lit(FILTER_BITS)).alias("at")
-    shared = ids.sparkSession.sparkContext.broadcast(bit_filter(ids.filter(own.isNotNull()).select(place)))
-
-    @F.arrow_udf("boolean")
-    def maybe(at: pa.Array) -> pa.Array:
-        return pa.array(bits_at(shared.value, at.to_numpy(zero_copy_only=False).astype(np.int64)))
-
-    return column.isNotNull() & maybe(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
-
-
-def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """`rows` whose `column` is not in `ids`; only those that may be are shuffled."""
-    marked = maybe_in(F.col(column), ids)
-    gone = ids.select(F.col(f"`{ids.columns[0]}`").alias("_gone")).distinct()
-    suspects = rows.filter(marked).join(gone, F.col(column) == F.col("_gone"), "left_anti")
-    return rows.filter(~marked).union(suspects)
-
-
 def without_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """`located` rows less those named in `gone`, as they were before they were located."""
-    return without(rows, ROW, store(gone.select(ROW), "gone")).drop(ROW)
+    return rows.join(store(gone.select(ROW), "gone"), ROW, "left_anti").drop(ROW)

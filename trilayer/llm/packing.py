@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trilayer.llm.common import store, table
 from trilayer.llm.tokens import text_ids, word_ids
@@ -249,18 +250,17 @@ def pack(
     rows, _ = plan_sequences(histogram, capacity // unit)
     plan = spark.sparkContext.broadcast((rows[:, 0] * 2.0**40 + rows[:, 1], rows))
 
-    @F.arrow_udf("long")
-    def sequence(size: pa.Array, rank: pa.Array) -> pa.Array:
+    def sequenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, steps = plan.value
-        size, rank = (a.to_numpy(zero_copy_only=False).astype(np.int64) for a in (size, rank))
-        _, first, each, base = steps[np.searchsorted(keys, size * 2.0**40 + rank, side="right") - 1].T
-        return pa.array(base + (rank - first) // each)
+        for batch in batches:
+            size, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "rank"))
+            _, first, each, base = steps[np.searchsorted(keys, size * 2.0**40 + rank, side="right") - 1].T
+            yield batch.append_column("sequence_id", pa.array(base + (rank - first) // each))
 
     earlier = Window.partitionBy("size").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     before = per_run.select("run", "size", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    placed = pieces.join(before, ["run", "size"]).withColumn(
-        "sequence_id", sequence("size", F.col("before") + F.col("local_rank"))
-    )
+    ranked = pieces.join(before, ["run", "size"]).withColumn("rank", F.col("before") + F.col("local_rank"))
+    placed = ranked.mapInArrow(sequenced, T.StructType([*ranked.schema.fields, T.StructField("sequence_id", T.LongType())]))
     # A sequence has at most `capacity` pieces.
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "run", "size", "local_rank")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trilayer.llm.common import maybe_in, slices, store, table
+from trilayer.llm.common import FILTER_BITS, bit_filter, bits_at, slices, store, table
 from trilayer.llm.words import MEMORY, MEMORY_BYTES, mix, word_lists
 
 ORDER = 5
@@ -309,6 +309,20 @@ def fit_curve(values: np.ndarray, toxic: np.ndarray, steps: int = 60) -> np.ndar
     return np.append(w[:2] / scale, w[2])
 
 
+def _likely(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) whose id is among `ids`, and some others, found within the task."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at")
+    known = texts.sparkSession.sparkContext.broadcast(bit_filter(ids.select(place)))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = bits_at(known.value, batch.column(2).to_numpy())
+            yield batch.filter(pa.array(keep)).select([0, 1])
+
+    rows = texts.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", place)
+    return rows.mapInArrow(chosen, "doc_id long, text string")
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Models:
     """Models from the labelled rows outside the held-out fold.
 
@@ -323,7 +337,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Models:
     share = min(1.0, FIT_ROWS / max(known.count(), 1))
     known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < int(share * 2**31))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    likely = texts.filter(maybe_in(F.col("doc_id"), known.select("doc_id")))
+    likely = _likely(texts, known.select("doc_id"))
     labelled = store(likely.join(known, "doc_id"), "labelled")
     of_curve = fold_of(F.col("doc_id")) == CURVE_FOLD
     models = fit_counts(texts, labelled.filter(~of_curve))
@@ -350,18 +364,15 @@ def drop_toxic(docs: DataFrame, models: Models, threshold: float = 0.5) -> DataF
     """The rows of `docs` whose score is below `threshold`, all columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
-    @F.arrow_udf("double")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = WordEvidence(shared.value)
-        for texts in batches:
-            pairs = [
-                features_of(e)
-                for start in range(0, len(texts), ROWS)
-                for e in evidence.of_texts(texts.slice(start, ROWS).to_pylist())
-            ]
-            yield pa.array(shared.value.score(np.array(pairs, float).reshape(-1, 2)), pa.float64())
-
-    return docs.filter(score("text") < threshold)
+        for batch in slices(batches, ROWS):
+            pairs = [features_of(e) for e in evidence.of_texts(batch.column(at).to_pylist())]
+            scores = shared.value.score(np.array(pairs, float).reshape(-1, 2))
+            yield batch.filter(pa.array(scores < threshold))
+
+    at = docs.columns.index("text")
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def crc32_fold(doc_id: int) -> int:
