@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from llm_fixtures import by_id, empty, messy, workers_import_the_library  # noqa: F401
+from pyspark.sql import functions as F
 from trilayer.llm.chat import format_chats
 from trilayer.llm.exact_dedup import drop_copies, exact_groups
 from trilayer.llm.fingerprints import fingerprint_edits
@@ -12,7 +13,7 @@ from trilayer.llm.near_dedup import drop_near_copies, near_groups
 from trilayer.llm.packing import pack
 from trilayer.llm.token_count import count_tokens
 from trilayer.llm.toxicity import drop_toxic, fit_toxicity, score_toxicity
-from trilayer.llm.url_filter import judge_urls
+from trilayer.llm.url_filter import judge_urls, rule_keys
 from trilayer.llm.warc import archive_pages
 
 PAGES = "page_id long, url string, html string, host string, payload string, run string"
@@ -37,6 +38,27 @@ def test_url_filter(spark):
     assert {r.verdict for r in judge_urls(pages, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_url_filter_of_hosts_with_many_labels(spark):
+    hosts = ["a." * 5000 + "net", "net", "b.c.d", "c.d", "d", "x.b.c.d.", "xnet", "..net", "", "."]
+    rows = [(i, f"http://{host}/en/{'p/' * 2000}", None, "a", "b", "c") for i, host in enumerate(hosts)]
+    rules = [("net", "/en/", "block"), ("b.c.d", "/", "allow"), ("d", "/e", "block"), ("c.d", "/en/p/p/", "block")]
+    rules += [(None, "/", "block"), ("net", "/en/", None)]
+    got = judge_urls(spark.createDataFrame(rows, PAGES), spark.createDataFrame(rules, RULES)).collect()
+    for row in got:
+        fits = [
+            (len(h + p), len(h), h + p, v) for h, p, v in rules[:4]
+            if (row.host == h or row.host.endswith("." + h)) and row.path.startswith(p)
+        ]
+        assert (row.rule, row.verdict) == (max(fits)[2:] if fits else (None, "allow")), row.host[-20:]
+    assert len(got) == len(rows) and sum(r.rule is not None for r in got) == 6
+
+
+def test_url_filter_keys_are_bounded_by_the_rules(spark):
+    url = spark.createDataFrame([("a." * 5000 + "net", "/" * 5000)], "host string, path string")
+    keys = url.select(rule_keys(F.col("host"), F.col("path"), [1, 3], [0, 4]).alias("keys")).first()["keys"]
+    assert keys == ["a.a.net////", "a.a.net", "net////", "net"]
+
+
 def test_fingerprints(spark, messy, empty):
     got = fingerprint_edits(messy).collect()
     assert len(got) == messy.count()

@@ -1,8 +1,9 @@
 """URL rules by a cascade of Bloom filters.
 
 A rule is a key: host and start of the path, such as `example.net/en/`. A url has a
-bounded set of keys that could be rules: each suffix of its host by each start of its
-path that is as long as some rule's. Those of the whole corpus are the key universe.
+bounded set of keys that could be rules: each suffix of its host with as many labels as
+some rule's, by each start of its path that is as long as some rule's. Those of the whole
+corpus are the key universe.
 
 Level 0 of a cascade encodes the listed keys. Level 1 encodes the unlisted keys of the
 universe that level 0 lets through, level 2 the listed keys that level 1 lets through,
@@ -45,13 +46,13 @@ def _after_scheme(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
 
 
-def rule_keys(host: Column, path: Column, path_lengths: Sequence[int]) -> Column:
-    """Keys of a url that could be rules, longest first, of equal length the longer host first."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
+def rule_keys(host: Column, path: Column, label_counts: Sequence[int], path_lengths: Sequence[int]) -> Column:
+    """Keys of a url that could be rules, longest first, of equal length the longer host first.
+
+    No more than the label counts times the path lengths, however long the host. A host of
+    fewer labels than asked for stands as it is.
+    """
+    suffixes = F.array_distinct(F.array(*[F.substring_index(host, ".", -n) for n in sorted(set(label_counts))]))
     starts = F.array_distinct(F.array(*[F.substring(path, 1, n) for n in sorted(set(path_lengths))]))
     pairs = F.flatten(
         F.transform(
@@ -219,16 +220,18 @@ def judge_urls(
     spark: SparkSession = pages.sparkSession
     rules = rules.select(
         F.concat(F.translate("host", UPPER, LOWER), F.coalesce("path", F.lit(""))).alias("key"),
+        F.size(F.split("host", r"\.")).alias("labels"),
         F.length(F.coalesce("path", F.lit(""))).alias("path_length"),
         "verdict",
     )
-    # Distinct path lengths: no more than the longest rule has characters.
-    lengths = [r[0] for r in rules.select("path_length").distinct().collect() if r[0] is not None]
+    # Distinct sizes: no more than the longest rule has labels or characters. Null hosts fit nothing.
+    sizes = rules.filter(F.col("key").isNotNull()).agg(F.collect_set("labels"), F.collect_set("path_length")).first()
+    labels, lengths = (size or [0] for size in sizes)
     url = F.coalesce(F.col(url_column), F.lit(""))
     located = pages.select(
         F.col(id_column).alias(id_column), host_of(url).alias("host"), path_of(url).alias("path")
     )
-    keyed = located.withColumn("keys", rule_keys(F.col("host"), F.col("path"), lengths or [0]))
+    keyed = located.withColumn("keys", rule_keys(F.col("host"), F.col("path"), labels, lengths))
     universe = keyed.select(F.explode("keys").alias("key"))
     verdicts = [ALLOW, BLOCK]
     cascades = [build_cascades(universe, rules.filter(F.col("verdict") == v)) for v in verdicts]
