@@ -199,12 +199,12 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, unit: int, keep_i
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, run = word_ids(tokenizer), TaskContext.get().partitionId()
+        words, run = word_ids(tokenizer), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for batch in batches:
             rows: list[tuple] = []
-            for i, text in enumerate(batch.column(1)):
-                ids = text_ids(text.as_py(), memory) + end
+            for i, found in enumerate(text_ids(batch.column(1), words)):
+                ids = found.tobytes() + end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start : 4 * (start + capacity)]
