@@ -73,3 +73,40 @@ def test_running_total(spark):
 
 def test_empty_table(spark):
     assert ordering.number_rows(hot_table(spark).filter("k < 0"), ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("max_rows", [0, 200_000])
+def test_running_total_of_blocks(spark, monkeypatch, max_rows):
+    """Weights that are null at first, later, and for whole blocks; two files of several blocks."""
+    monkeypatch.setattr(ordering, "BLOCK", 64)
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", max_rows)
+    df = spark.range(0, 2000, 1, 2).selectExpr(
+        "id as k", "if(id < 100 or id between 500 and 1300 or id % 7 = 0, null, id * 5 % 11 - 3) as w"
+    )
+    path = ordering.scratch_dir(spark, "blocks")
+    df.write.parquet(path)
+    expected, total = [], None
+    for r in sorted(df.collect()):
+        total = total if r.w is None else (total or 0) + r.w
+        expected.append((r.k, total))
+    assert rows(ordering.stored_running_total(spark, path, "w"), "k", "running_total") == expected
+
+
+def test_running_total_deals_blocks_not_files(spark, monkeypatch):
+    """However few and large the files are, no task holds more than some blocks."""
+    monkeypatch.setattr(ordering, "BLOCK", 100)
+    path = ordering.scratch_dir(spark, "one-file")
+    spark.range(0, 40_000, 1, 1).selectExpr("id as k", "id % 5 as w").write.parquet(path)
+    got = ordering.stored_running_total(spark, path, "w").withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in got.groupBy("task").count().collect()]
+    assert len(sizes) > 30 and max(sizes) <= 4 * 100 * ordering.TASK_BLOCKS
+
+
+def test_sort_has_as_many_tasks_as_the_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SORT_ROWS", 300)
+    df = hot_table(spark).withColumn("w", F.col("k") % 5)
+    path = ordering.store_sorted(df, ["k"])
+    stored = spark.read.parquet(path).groupBy(F.col("_metadata.file_name")).count().collect()
+    assert len(stored) > 20 and max(r["count"] for r in stored) < 900
+    got = rows(ordering.stored_running_total(spark, path, "w"), "k", "running_total")
+    assert [r[1] for r in got] == list(accumulate(k % 5 for k, _ in got))
