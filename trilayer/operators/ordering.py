@@ -29,19 +29,24 @@ BLOCK, TASK_BLOCKS = 1 << 16, 8
 
 
 def store_sorted(
-    df: DataFrame, order_by: Sequence[str], path: str | None = None, split_ties: bool = True
+    df: DataFrame,
+    order_by: Sequence[str],
+    path: str | None = None,
+    split_ties: bool = True,
+    n_rows: int | None = None,
 ) -> str:
     """Write `df` in one global order and return the folder.
 
     `split_ties` lets a group of equal keys, however large, spread over many tasks.
     Such rows must be interchangeable, and `df` must come straight from a scan, so
     that a recomputed task repeats its ties. Turn it off where the key is unique.
-    There are more tasks than the setting for shuffles says where the rows need them.
+    With `n_rows`, the number of rows, there are more tasks than the setting for shuffles
+    says where the rows need them.
     """
     spark = df.sparkSession
     path = path or scratch_dir(spark, "sorted")
     keys = list(order_by)
-    tasks = -(-df.count() // SORT_ROWS)
+    tasks = -(-(n_rows or 0) // SORT_ROWS)
     number = [tasks] if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
     if split_ties:
         df, keys = df.withColumn(_TIE, F.monotonically_increasing_id()), [*keys, _TIE]
@@ -125,4 +130,6 @@ def running_total(
     df: DataFrame, order_by: Sequence[str], weight: str, out: str = "running_total"
 ) -> DataFrame:
     """Inclusive running sum of an integer column over the whole table in key order."""
-    return stored_running_total(df.sparkSession, store_sorted(df, order_by), weight, out)
+    # Beside a column: Spark refuses to count lines of text by their corrupt mark alone.
+    n_rows = df.agg(F.count(F.lit(1)), F.max(order_by[0])).first()[0]
+    return stored_running_total(df.sparkSession, store_sorted(df, order_by, n_rows=n_rows), weight, out)
